@@ -104,17 +104,19 @@ def simple_tokens(c: Column, stop: Sequence[str] = (), lo: int = 2, hi: int = 30
 
 
 def ngrams(tokens: Column, lo: int, hi: int) -> Column:
-    """All n-grams with lo <= n <= hi, in order of n then position."""
-    def of(n: int) -> Column:
-        if n == 1:
-            return tokens
-        last = F.size(tokens) - n + 1
-        return F.when(
-            last >= 1,
-            F.transform(F.sequence(F.lit(1), last), lambda i: F.array_join(F.slice(tokens, i, n), " ")),
-        ).otherwise(F.array().cast("array<string>"))
-
-    parts = [of(n) for n in range(lo, hi + 1)]
+    """All n-grams with lo <= n <= hi, in order of n then position.
+
+    Longer grams extend shorter ones by zipping with the shifted tokens, which is
+    linear; pass a column, not an expression, for long token lists.
+    """
+    grams, parts = tokens, []
+    for n in range(1, hi + 1):
+        if n > 1:
+            left = F.greatest(F.size(tokens) - n + 1, F.lit(0))
+            grams = F.zip_with(F.slice(grams, 1, left), F.slice(tokens, n, left),
+                               lambda a, b: F.concat(a, F.lit(" "), b))
+        if n >= lo:
+            parts.append(grams)
     return parts[0] if len(parts) == 1 else F.concat(*parts)
 
 
