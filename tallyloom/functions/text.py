@@ -88,12 +88,8 @@ def word_tokens(c: Column, stop: Sequence[str] = ()) -> Column:
 
 
 def drop_words(tokens: Column, stop: Sequence[str]) -> Column:
-    stop_set = literal_words(stop)
-    return F.filter(tokens, lambda w: ~F.array_contains(stop_set, w))
-
-
-def literal_words(words: Sequence[str]) -> Column:
-    return F.array(*[F.lit(w) for w in sorted(set(words))])
+    listed = sorted(set(stop))
+    return F.filter(tokens, lambda w: ~w.isin(*listed))
 
 
 def simple_tokens(c: Column, stop: Sequence[str] = (), lo: int = 2, hi: int = 30) -> Column:

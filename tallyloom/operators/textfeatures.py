@@ -1,7 +1,7 @@
 """Token frames, document frequencies, stop lists, TF-IDF.
 
-Long form is (key, term, tf). Terms are counted inside the row that holds the text,
-so building it needs no shuffle at all.
+Long form is (key, term, tf). Text is hashed by key once and its terms are counted
+where they land, so exploded words never cross the network.
 """
 
 from __future__ import annotations
@@ -55,19 +55,18 @@ def lemmatise(df: DataFrame, text: str, name: str = "text_lemma", lemmas: Mappin
     return df.withColumn(name, F.array_join(lemma_tokens(F.col(text), lemmas, stop), " "))
 
 
+def spread_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Hash rows over the session's shuffle partitions by key, so that costly row work
+    is parallel whatever the file layout and grouping by the key needs no more shuffle."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, *keys)
+
+
 def term_counts(df: DataFrame, keys: Sequence[str], tokens: Column) -> DataFrame:
-    """(keys, term, tf), one row per distinct term of a row. Sort, mark the run starts,
-    subtract neighbours: linear after the sort and entirely row-local."""
-    s = df.select(*keys, F.sort_array(tokens).alias("_s")).filter(F.size("_s") > 0)
-    starts = F.filter(
-        F.sequence(F.lit(1), F.size("_s")),
-        lambda i: (i == 1) | (F.element_at("_s", i) != F.get(F.col("_s"), i - 2)))
-    s = s.withColumn("_at", starts)
-    runs = F.transform(
-        "_at", lambda i, j: F.struct(
-            F.element_at("_s", i).alias("term"),
-            (F.coalesce(F.get(F.col("_at"), j + 1), F.size("_s") + 1) - i).cast("long").alias("tf")))
-    return s.select(*keys, F.explode(runs).alias("_r")).select(*keys, "_r.term", "_r.tf")
+    """(keys, term, tf). The text crosses the network once, before it is exploded;
+    counting then happens in place."""
+    words = spread_rows(df, keys).select(*keys, tokens.alias("_t")).select(*keys, F.explode("_t").alias("term"))
+    return words.groupBy(*keys, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
 def doc_freq(df: DataFrame, tokens: Column) -> DataFrame:
