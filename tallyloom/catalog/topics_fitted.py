@@ -1 +1,130 @@
-"""To come."""
+"""Operators that fit a model."""
+
+from __future__ import annotations
+
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.sql import functions as F
+
+from ..functions import constants as K
+from ..functions import text as X
+from ..operators import clusters as CL
+from ..operators import lda as L
+from ..operators import topics as T
+from ..operators import windows as W
+from ..operators.profile import rounded
+from ..sources import tables as S
+from .basics import _scratch
+from .registry import gamma, query, table
+
+TOPICS = 8
+_FITTED: dict = {}
+
+
+def fitted(spark, sf):
+    """One fit per session and data folder, shared by the queries below."""
+    at = (spark.sparkContext.applicationId, sf)
+    if at not in _FITTED:
+        stop = list(K.ENGLISH_STOP) + K.DOMAIN_STOP
+        d = table(spark, sf, "documents").select("doc_id", "source", "text")
+        d = d.withColumn("tokens", X.simple_tokens(F.col("text"), stop))
+        cv, bow = L.bag_of_words(d, "doc_id", "tokens", 5, 0.9)
+        _FITTED[at] = (cv, bow, L.fit_lda(bow, "doc_id", TOPICS, passes=4))
+    return _FITTED[at]
+
+
+@query("t01_embed_documents")
+def t01(spark, sf):
+    e = CL.embed_documents(table(spark, sf, "documents").select("doc_id", "text"), features=256, dims=16)
+    return e.select("doc_id", F.posexplode("embedding").alias("pos", "value"))
+
+
+DENSITY = {"eps": 0.45, "min_samples": 8, "min_cluster": 20}
+
+
+@query("t02_density_topics", f"""WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+  edge AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a, v b WHERE list_cosine_similarity(a.e, b.e) >= {1 - DENSITY['eps']}),
+  core AS (SELECT a AS id FROM edge GROUP BY 1 HAVING count(*) >= {DENSITY['min_samples']}),
+  link AS (SELECT a, b FROM edge WHERE a IN (SELECT id FROM core) AND b IN (SELECT id FROM core)),
+  reach AS (SELECT id, id AS other FROM core UNION SELECT r.id, l.b FROM reach r JOIN link l ON r.other = l.a),
+  comp AS (SELECT id, min(other) AS c FROM reach GROUP BY 1),
+  lab AS (SELECT e.b AS vec_id, min(c) AS topic FROM edge e JOIN comp ON e.a = comp.id GROUP BY 1),
+  big AS (SELECT topic FROM lab GROUP BY 1 HAVING count(*) >= {DENSITY['min_cluster']})
+  SELECT v.vec_id, CASE WHEN lab.topic IN (SELECT topic FROM big) THEN lab.topic ELSE -1 END AS topic
+  FROM v LEFT JOIN lab ON v.vec_id = lab.vec_id""")
+def t02(spark, sf):
+    return CL.density_topics(table(spark, sf, "embeddings"), "vec_id", "embedding", **DENSITY)
+
+
+@query("t13_k_sweep")
+def t13(spark, sf):
+    return CL.k_sweep(table(spark, sf, "embeddings").select("vec_id", "embedding"), "embedding", [5, 10])
+
+
+@query("t17_fit_lda")
+def t17(spark, sf):
+    cv, _, model = fitted(spark, sf)
+    w = L.topic_words(model, cv.vocabulary, 10)
+    return w.select("topic", F.posexplode(F.arrays_zip("words", "weights")).alias("rank", "z")).select(
+        "topic", "rank", F.col("z.words").alias("term"), F.round("z.weights", 6).alias("weight"))
+
+
+@query("t18_doc_topics")
+def t18(spark, sf):
+    _, bow, model = fitted(spark, sf)
+    return L.doc_topics(model, bow, "doc_id").select(
+        "doc_id", "lda_topic", F.round("lda_topic_prob", 4).alias("lda_topic_prob"), "lda_topic_name")
+
+
+@query("t19_topic_terms")
+def t19(spark, sf):
+    cv, bow, model = fitted(spark, sf)
+    return L.topic_terms(L.doc_topics(model, bow, "doc_id"), L.topic_words(model, cv.vocabulary, 15))
+
+
+@query("t20_lda_grid")
+def t20(spark, sf):
+    cv, bow, _ = fitted(spark, sf)
+    return L.lda_grid(bow, "doc_id", "tokens", cv.vocabulary, [4, 8], passes=2)
+
+
+@query("t24_log_perplexity")
+def t24(spark, sf):
+    _, bow, model = fitted(spark, sf)
+    return bow.agg(F.count(F.lit(1)).alias("docs"), F.round(F.lit(L.log_perplexity(model, bow)), 6).alias("log_perplexity"))
+
+
+@query("t31_topic_summary")
+def t31(spark, sf):
+    cv, bow, model = fitted(spark, sf)
+    a = L.doc_topics(model, bow, "doc_id")
+    words = L.topic_words(model, cv.vocabulary, 15)
+    sizes = a.groupBy(F.col("lda_topic").alias("topic")).agg(F.count(F.lit(1)).alias("count"))
+    docs = a.select("doc_id", "gamma", F.col("lda_topic").alias("topic")).join(bow.select("doc_id", "text", "tokens"), "doc_id")
+    reps = T.representative_by_prob(docs.drop("topic"), "doc_id", "gamma", "text", 2, 280)
+    names = T.phrase_names(docs, "doc_id", "topic", "tokens", words).filter("rank = 1").select(
+        "topic", F.col("phrase").alias("topic_name"))
+    return T.topic_summary(sizes, words, reps, names)
+
+
+@query("t35_project_2d")
+def t35(spark, sf):
+    return rounded(L.project_2d(gamma(spark, sf), "vec_id", "gamma"), 6, "x", "y")
+
+
+@query("t36_topic_features")
+def t36(spark, sf):
+    _, bow, model = fitted(spark, sf)
+    return L.topic_features(L.doc_topics(model, bow, "doc_id"), "doc_id", TOPICS)
+
+
+@query("s05_save_and_load_model")
+def s05(spark, sf):
+    """Assignments from the reloaded model, next to the original ones."""
+    cv, bow, model = fitted(spark, sf)
+    path = _scratch(spark, "model")
+    S.save_model(PipelineModel([cv, model]), path)
+    again = S.load_model(path)
+    a = L.doc_topics(model, bow, "doc_id").select("doc_id", "lda_topic")
+    b = L.doc_topics(again.stages[1], again.stages[0].transform(bow.drop("features")), "doc_id").select(
+        "doc_id", F.col("lda_topic").alias("reloaded_topic"))
+    return a.join(b, "doc_id").withColumn("same", F.col("lda_topic") == F.col("reloaded_topic"))
