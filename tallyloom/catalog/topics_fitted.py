@@ -38,7 +38,7 @@ def t01(spark, sf):
     return e.select("doc_id", F.posexplode("embedding").alias("pos", "value"))
 
 
-DENSITY = {"eps": 0.45, "min_samples": 8, "min_cluster": 20}
+DENSITY = {"eps": 0.65, "min_samples": 4, "min_cluster": 8}
 
 
 @query("t02_density_topics", f"""WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
@@ -84,7 +84,7 @@ def t19(spark, sf):
 @query("t20_lda_grid")
 def t20(spark, sf):
     cv, bow, _ = fitted(spark, sf)
-    return L.lda_grid(bow, "doc_id", "tokens", cv.vocabulary, [4, 8], passes=2)
+    return L.lda_grid(bow, "doc_id", "tokens", cv.vocabulary, [4, 8], passes=2, topn=10)
 
 
 @query("t24_log_perplexity")

@@ -81,13 +81,13 @@ def word_lists(model: LDAModel, vocab: Sequence[str], n: int = 20) -> dict[int,
 
 
 def lda_grid(bow: DataFrame, key: str, tokens: str, vocab: Sequence[str], ks: Sequence[int], passes: int = 6,
-             seed: int = 42) -> DataFrame:
+             seed: int = 42, topn: int = 20) -> DataFrame:
     """(k, coh_c_v, log_perplexity), best coherence first, smaller k on ties."""
     rows, src = [], bow.select(key, tokens, "features").persist()
     try:
         for k in ks:
             m = fit_lda(src, key, k, passes, seed=seed)
-            cv = C.coherence_cv(src, key, F.col(tokens), word_lists(m, vocab)).agg(F.avg("c_v")).first()[0]
+            cv = C.coherence_cv(src, key, F.col(tokens), word_lists(m, vocab, topn)).agg(F.avg("c_v")).first()[0]
             rows.append((k, cv, log_perplexity(m, src)))
     finally:
         src.unpersist()
