@@ -18,11 +18,19 @@ from .windows import one_hot, spread_probs
 def bag_of_words(df: DataFrame, key: str, tokens: str, min_df: float = 5, max_df: float = 0.9,
                  keep_n: int = 50_000) -> tuple[CountVectorizerModel, DataFrame]:
     """Vocabulary (at most keep_n terms on the driver) and (key, tokens, features)."""
-    cv = CountVectorizer(inputCol=tokens, outputCol="features", minDF=float(min_df), maxDF=float(max_df),
-                         vocabSize=keep_n).fit(df)
+    cv = CountVectorizer(inputCol=tokens, outputCol="features", vocabSize=keep_n, **df_limits(min_df, max_df)).fit(df)
     return cv, cv.transform(df)
 
 
+def df_limits(min_df: float, max_df: float) -> dict[str, float]:
+    """Document-frequency limits for CountVectorizer, which reads 1.0 as "one document";
+    as a share it means no upper limit, so it is left out."""
+    out = {"minDF": float(min_df)}
+    if not (isinstance(max_df, float) and max_df == 1.0):
+        out["maxDF"] = float(max_df)
+    return out
+
+
 def stable_order(df: DataFrame, key: str, partitions: int | None = None) -> DataFrame:
     """Fixed partitions and order per partition, so a seed gives the same fit."""
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -41,6 +49,10 @@ def doc_topics(model: LDAModel, bow: DataFrame, key: str, names: dict[int, str]
     """(key, gamma, lda_topic, lda_topic_prob, lda_topic_name)."""
     from ..functions.cleaning import lookup
     g = model.transform(bow.select(key, "features")).select(key, vector_to_array("_gamma").alias("gamma"))
+    # A row without a known term gets zeros from the model; the learned prior is its answer.
+    alpha = model.estimatedDocConcentration().toArray()
+    prior = F.array(*[F.lit(float(a)) for a in alpha / alpha.sum()])
+    g = g.withColumn("gamma", F.when(F.array_max("gamma") > 0, F.col("gamma")).otherwise(prior))
     t = V.argmax(F.col("gamma"))
     fallback = F.concat(F.lit("Topic "), F.col("lda_topic").cast("string"))
     out = g.withColumns({"lda_topic": t, "lda_topic_prob": F.array_max("gamma")})

@@ -22,6 +22,7 @@ from ..functions.scoring import proposal_band
 from ..functions.text import fold_accents
 from ..plans.ranges import exact_quantiles
 from ..plans.skew import HOT_ROWS, lookup_by_weight
+from .lda import df_limits
 from .metrics import with_class_weights
 from .textfeatures import smooth_idf, term_counts, tfidf, vocabulary
 from .windows import top_k_per_group
@@ -36,15 +37,18 @@ def fit_text_classifier(df: DataFrame, text: str, label: str, binary: bool = Fal
     """M3, M4: words and bigrams, smoothed idf + 1, unit rows, balanced logistic regression
     with unit penalty. The vocabulary and the coefficients live on the driver, as they
     must in any linear text model; ``vocab_size`` bounds them."""
-    src = with_class_weights(fold_text(df.filter(F.col(label).isNotNull()), text), label)
+    # Rows are dealt out evenly: a hot text or label must not make a hot training task.
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    src = fold_text(df.filter(F.col(label).isNotNull()).select(label, text), text).select(label, "_folded")
+    src = with_class_weights(src, label).repartition(parts).persist()
     stages = [
         RegexTokenizer(inputCol="_folded", outputCol="_uni", pattern=r"[\p{L}\p{M}\p{Nd}_]{2,}", gaps=False),
         NGram(n=2, inputCol="_uni", outputCol="_bi"),
         SQLTransformer(statement="SELECT *, concat(_uni, _bi) AS _terms FROM __THIS__"),
     ]
-    cv = CountVectorizer(inputCol="_terms", outputCol="_tf", minDF=float(min_df), maxDF=float(max_df), vocabSize=vocab_size)
+    cv = CountVectorizer(inputCol="_terms", outputCol="_tf", vocabSize=vocab_size, **df_limits(min_df, max_df))
     head = Pipeline(stages=stages + [cv]).fit(src)
-    counted = head.transform(src).persist()
+    counted = head.transform(src).select(label, "class_weight", "_tf").persist()
     try:
         idf = IDF(inputCol="_tf", outputCol="_idf").fit(counted)
         weigh = ElementwiseProduct(scalingVec=DenseVector(idf.idf.toArray() + 1.0), inputCol="_tf", outputCol="_tfidf")
@@ -56,6 +60,7 @@ def fit_text_classifier(df: DataFrame, text: str, label: str, binary: bool = Fal
         model = lr.fit(unit.transform(weigh.transform(counted)))
     finally:
         counted.unpersist()
+        src.unpersist()
     return PipelineModel(head.stages + [weigh, unit, model])
 
 
