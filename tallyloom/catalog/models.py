@@ -12,7 +12,7 @@ from ..operators import metrics as E
 from ..operators import models as M
 from ..operators import windows as W
 from ..operators.profile import rounded
-from .registry import IMPACT_SQL, impact, query, table
+from .registry import IMPACT_SQL, impact, narratives, query, table
 from .texts import AREA_BY_LANG, TFIDF_SQL, ngrams_sql, words_sql
 
 
@@ -55,7 +55,7 @@ def fitted(spark, sf):
         train = E.stratified_split(src, "impact_class", "doc_id").filter(~F.col("is_test"))
         m1 = M.fit_text_classifier(train, "row_text", "impact_class", max_iter=30)
         m3 = M.fit_text_classifier(train, "row_text", "quality", binary=True, max_iter=30)
-        scored = table(spark, sf, "documents").select("doc_id", scoring.complexity_score(
+        scored = narratives(spark, sf).select("doc_id", scoring.complexity_score(
             F.col("doc_id") % 40, F.col("text"), lookup(F.col("lang"), AREA_BY_LANG)).alias("score"))
         m2 = M.fit_numeric_classifier(
             _topic_features(M.above_median(scored, "score"), F.col("doc_id") % 40), TOPIC_COLS, "label", 30)
@@ -220,7 +220,7 @@ _QUB = f"(SELECT item_id, list_concat(t, {ngrams_sql('t', 2)}) AS g FROM (SELECT
 def m15(spark, sf):
     t = X.ngrams(F.col("t"), 1, 2)
     q = table(spark, sf, "benchmark").select("item_id", X.word_tokens(F.col("text"), K.ENGLISH_STOP).alias("t"))
-    d = table(spark, sf, "documents").select("doc_id", X.word_tokens(F.col("text"), K.ENGLISH_STOP).alias("t"))
+    d = narratives(spark, sf).select("doc_id", X.word_tokens(F.col("text"), K.ENGLISH_STOP).alias("t"))
     return rounded(M.similar_cases(q, d, "item_id", "doc_id", t, t, 5, 5, 0.9), 4, "similarity")
 
 

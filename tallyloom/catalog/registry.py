@@ -7,6 +7,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..plans.skew import use_all_cores
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
@@ -26,6 +28,12 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def narratives(spark: SparkSession, sf: str, name: str = "documents", *columns: str) -> DataFrame:
+    """A text table whose rows are costly to process."""
+    df = table(spark, sf, name)
+    return use_all_cores(df.select(*columns) if columns else df)
+
+
 def sql_text(v: str | None) -> str:
     return "NULL" if v is None else "'" + v.replace("'", "''") + "'"
 
@@ -50,7 +58,8 @@ def impact_expr():
 
 
 def impact(spark, sf, *extra: str) -> DataFrame:
-    d = table(spark, sf, "documents").select("doc_id", "source", "lang", *extra)
+    d = narratives(spark, sf, "documents", "doc_id", "source", "lang", *extra) if extra else table(
+        spark, sf, "documents").select("doc_id", "source", "lang")
     return d.join(table(spark, sf, "labels"), "doc_id", "left").select(
         "doc_id", "source", "lang", *extra, impact_expr().alias("impact")
     )

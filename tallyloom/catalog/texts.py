@@ -11,7 +11,7 @@ from ..functions.cleaning import lookup
 from ..operators import textfeatures as TF
 from ..operators import windows as W
 from ..operators.profile import rounded
-from .registry import query, sql_list, table
+from .registry import narratives, query, sql_list, table
 
 # A non-ASCII letter is a word character in Spark's (?U) patterns but not in the SQL
 # engine's; written as "_" it is one in both, and matches none of the token classes.
@@ -51,7 +51,7 @@ def x02(spark, sf):
 
 @query("x03_word_count", r"SELECT doc_id, CAST(len(regexp_extract_all(text, '\S+')) AS INTEGER) AS words FROM documents")
 def x03(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", X.word_count(F.col("text")).alias("words"))
+    return narratives(spark, sf).select("doc_id", X.word_count(F.col("text")).alias("words"))
 
 
 def _preclean_sql(c):
@@ -67,7 +67,7 @@ def _preclean_sql(c):
 
 @query("x04_light_preclean", f"SELECT doc_id, {_preclean_sql('text')} AS clean FROM documents")
 def x04(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", X.light_preclean(F.col("text")).alias("clean"))
+    return narratives(spark, sf).select("doc_id", X.light_preclean(F.col("text")).alias("clean"))
 
 
 @query("x04_light_preclean_phrases", f"""SELECT conv_id, turn, {_preclean_sql(
@@ -91,7 +91,7 @@ _LEMMA = r"""CASE WHEN w = 'children' THEN 'child' WHEN w = 'people' THEN 'perso
   AND NOT list_contains({STOP_SQL}, w)), lambda w: {_LEMMA}), lambda w: length(w) > 2), ' ') AS text_lemma
   FROM documents""")
 def x05(spark, sf):
-    return TF.lemmatise(table(spark, sf, "documents").select("doc_id", "text"), "text", lemmas=LEMMAS).drop("text")
+    return TF.lemmatise(narratives(spark, sf).select("doc_id", "text"), "text", lemmas=LEMMAS).drop("text")
 
 
 _LABEL_TOKENS = rf"regexp_extract_all({FOLD_WORD.format(c='lower(text)')}, '\b[a-z0-9][a-z0-9-]+\b')"
@@ -100,7 +100,7 @@ _LABEL_TOKENS = rf"regexp_extract_all({FOLD_WORD.format(c='lower(text)')}, '\b[a
 @query("x06_doc_tokens", rf"""SELECT doc_id, CAST(len(t) AS INTEGER) AS tokens, md5(array_to_string(list_sort(t), ' '))
   AS digest FROM (SELECT doc_id, list_distinct({_LABEL_TOKENS}) AS t FROM documents)""")
 def x06(spark, sf):
-    d = table(spark, sf, "documents").select("doc_id", X.label_tokens(F.col("text")).alias("t"))
+    d = narratives(spark, sf).select("doc_id", X.label_tokens(F.col("text")).alias("t"))
     return d.select("doc_id", F.size("t").alias("tokens"),
                     F.md5(F.array_join(F.sort_array("t"), " ")).alias("digest"))
 
@@ -111,19 +111,19 @@ _DF = f"""(SELECT word, count(*) AS docs FROM (SELECT doc_id, unnest(list_distin
 
 @query("x07_doc_freq", f"SELECT word, docs FROM {_DF}")
 def x07(spark, sf):
-    return TF.doc_freq(table(spark, sf, "documents"), X.label_tokens(F.col("text")))
+    return TF.doc_freq(narratives(spark, sf), X.label_tokens(F.col("text")))
 
 
 @query("x07_very_common", f"SELECT word, docs FROM {_DF} WHERE docs / (SELECT count(*) FROM documents) > 0.3")
 def x07b(spark, sf):
-    return TF.very_common(table(spark, sf, "documents"), X.label_tokens(F.col("text")), 0.3)
+    return TF.very_common(narratives(spark, sf), X.label_tokens(F.col("text")), 0.3)
 
 
 @query("x08_label_stopwords", f"""SELECT DISTINCT word FROM (SELECT unnest({STOP_SQL}) AS word UNION ALL
   SELECT unnest({sql_list(K.LABEL_HIDE)}) UNION ALL SELECT word FROM {_DF} WHERE docs /
   (SELECT count(*) FROM documents) > 0.3) WHERE NOT list_contains({sql_list(K.LABEL_KEEP)}, word)""")
 def x08(spark, sf):
-    return TF.label_stopwords(table(spark, sf, "documents"), X.label_tokens(F.col("text")), share=0.3)
+    return TF.label_stopwords(narratives(spark, sf), X.label_tokens(F.col("text")), share=0.3)
 
 
 _DOC_WORDS = f"(SELECT DISTINCT lang, unnest({words_sql()}) AS word FROM documents)"
@@ -132,7 +132,7 @@ _DOC_WORDS = f"(SELECT DISTINCT lang, unnest({words_sql()}) AS word FROM documen
 @query("w11_word_set", f"""SELECT DISTINCT word FROM {_DOC_WORDS} WHERE lang IN ('en', 'fr') AND word NOT IN
   (SELECT word FROM {_DOC_WORDS} WHERE lang = 'es')""")
 def w11(spark, sf):
-    words = table(spark, sf, "documents").select("lang", F.explode(X.word_tokens(F.col("text"))).alias("word"))
+    words = narratives(spark, sf).select("lang", F.explode(X.word_tokens(F.col("text"))).alias("word"))
     return W.word_set(words.filter("lang = 'en'"), [words.filter("lang = 'fr'")], words.filter("lang = 'es'"))
 
 
@@ -143,7 +143,7 @@ _SIMPLE = rf"""list_filter(regexp_extract_all(strip_accents(lower(text)), '[\p{{
 @query("x09_tokenize_simple", f"""SELECT doc_id, CAST(len(t) AS INTEGER) AS tokens, md5(array_to_string(t, ' ')) AS digest
   FROM (SELECT doc_id, {_SIMPLE} AS t FROM documents)""")
 def x09(spark, sf):
-    d = table(spark, sf, "documents").select("doc_id", X.simple_tokens(F.col("text"), K.DOMAIN_STOP).alias("t"))
+    d = narratives(spark, sf).select("doc_id", X.simple_tokens(F.col("text"), K.DOMAIN_STOP).alias("t"))
     return d.select("doc_id", F.size("t").alias("tokens"), F.md5(F.array_join("t", " ")).alias("digest"))
 
 
@@ -161,13 +161,13 @@ METRICS_SQL = rf"""(SELECT doc_id, lang, source, CAST(len(w) AS INTEGER) AS word
 @query("x10_text_metrics", f"SELECT * EXCLUDE (lang, source) FROM {METRICS_SQL}")
 def x10(spark, sf):
     m = X.text_metrics(F.col("text"))
-    return rounded(table(spark, sf, "documents").select("doc_id", *[c.alias(n) for n, c in m.items()]), 8,
+    return rounded(narratives(spark, sf).select("doc_id", *[c.alias(n) for n, c in m.items()]), 8,
                    "lex_diversity", "punct_ratio")
 
 
 @query("x11_text_audit", f"SELECT * EXCLUDE (source) FROM {METRICS_SQL} WHERE lang <> 'en'")
 def x11(spark, sf):
-    return rounded(TF.text_audit(table(spark, sf, "documents"), "text", F.col("lang") != "en", ["doc_id", "lang"]), 8,
+    return rounded(TF.text_audit(narratives(spark, sf), "text", F.col("lang") != "en", ["doc_id", "lang"]), 8,
                    "lex_diversity", "punct_ratio")
 
 
@@ -180,7 +180,7 @@ def x11b(spark, sf):
 @query("x12_ngrams", f"""SELECT doc_id, CAST(len(g) AS INTEGER) AS n, md5(array_to_string(g, '|')) AS digest FROM (SELECT doc_id,
   list_concat({ngrams_sql('t', 2)}, {ngrams_sql('t', 3)}) AS g FROM (SELECT doc_id, {words_sql()} AS t FROM documents))""")
 def x12(spark, sf):
-    t = table(spark, sf, "documents").select("doc_id", X.word_tokens(F.col("text")).alias("t"))
+    t = narratives(spark, sf).select("doc_id", X.word_tokens(F.col("text")).alias("t"))
     g = t.select("doc_id", X.ngrams(F.col("t"), 2, 3).alias("g"))
     return g.select("doc_id", F.size("g").alias("n"), F.md5(F.array_join("g", "|")).alias("digest"))
 
@@ -192,7 +192,7 @@ _VOCAB = f"""(SELECT term, count(*) AS df, sum(tf) AS cf FROM {_TERMS} GROUP BY
 
 @query("x13_vocabulary", f"SELECT term, df, CAST(cf AS BIGINT) AS cf FROM {_VOCAB} ORDER BY df DESC, term LIMIT 2000")
 def x13(spark, sf):
-    d = table(spark, sf, "documents")
+    d = narratives(spark, sf)
     terms = TF.term_counts(d, ["doc_id"], X.word_tokens(F.col("text")))
     return TF.vocabulary(terms, d.agg(F.count(F.lit(1))).scalar(), 5, 0.9, keep_n=2000)
 
@@ -200,7 +200,7 @@ def x13(spark, sf):
 @query("x13_count_vectorize", f"""SELECT doc_id, count(*) AS terms, CAST(sum(tf) AS BIGINT) AS tokens, md5(string_agg(term || ':' || tf,
   ' ' ORDER BY term)) AS digest FROM {_TERMS} WHERE term IN (SELECT term FROM {_VOCAB}) GROUP BY 1""")
 def x13b(spark, sf):
-    cv = TF.count_vectorize(table(spark, sf, "documents"), "doc_id", X.word_tokens(F.col("text")), 5, 0.9)
+    cv = TF.count_vectorize(narratives(spark, sf), "doc_id", X.word_tokens(F.col("text")), 5, 0.9)
     pair = F.concat(F.col("term"), F.lit(":"), F.col("tf").cast("string"))
     return cv.groupBy("doc_id").agg(
         F.count(F.lit(1)).alias("terms"), F.sum("tf").alias("tokens"),
@@ -223,7 +223,7 @@ def bigram_tokens(c="text", stop=K.ENGLISH_STOP):
 @query("x14_tfidf", f"""SELECT doc_id, term, round(weight, 6) AS weight, rank FROM (SELECT *, row_number() OVER (PARTITION BY doc_id
   ORDER BY round(weight, 9) DESC, term) AS rank FROM {TFIDF_SQL}) WHERE rank <= 10""")
 def x14(spark, sf):
-    d = table(spark, sf, "documents").select("doc_id", X.word_tokens(F.col("text"), K.ENGLISH_STOP).alias("t"))
+    d = narratives(spark, sf).select("doc_id", X.word_tokens(F.col("text"), K.ENGLISH_STOP).alias("t"))
     w = TF.tfidf(d, "doc_id", X.ngrams(F.col("t"), 1, 2), 5, 0.9)
     top = W.top_k_per_group(w, ["doc_id"], [F.desc(F.round("weight", 9)), F.asc("term")], 10)
     return rounded(top, 6, "weight")
@@ -232,7 +232,7 @@ def x14(spark, sf):
 @query("x15_lowest_idf_terms", f"""SELECT term, df, round(ln(((SELECT count(*) FROM documents) + 1) / (df + 1)) + 1, 8) AS idf
   FROM {_VOCAB} ORDER BY df DESC, term LIMIT 30""")
 def x15(spark, sf):
-    return rounded(TF.lowest_idf_terms(table(spark, sf, "documents"), "doc_id", X.word_tokens(F.col("text")), 30, 5, 0.9),
+    return rounded(TF.lowest_idf_terms(narratives(spark, sf), "doc_id", X.word_tokens(F.col("text")), 30, 5, 0.9),
                    8, "idf")
 
 
@@ -247,7 +247,7 @@ _FOLDED = FOLD_WORD.format(c="lower(text)")
 
 @query("x16_keyword_level", f"SELECT doc_id, {_level_sql(_FOLDED)} AS level FROM documents")
 def x16(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", scoring.keyword_level(F.col("text")).alias("level"))
+    return narratives(spark, sf).select("doc_id", scoring.keyword_level(F.col("text")).alias("level"))
 
 
 _TOPIC_POINTS = "CASE doc_id % 45 " + " ".join(f"WHEN {k} THEN {v}" for k, v in K.TOPIC_COMPLEXITY.items()) + " ELSE 2 END"
@@ -258,4 +258,4 @@ AREA_BY_LANG = {"en": "Health & Medical", "de": "Law & Justice", "fr": "Mission-
   WHEN 'de' THEN 4 WHEN 'es' THEN 3 ELSE 2 END) / 15.0 * 100, 6) AS complexity_score FROM documents""")
 def x17(spark, sf):
     score = scoring.complexity_score(F.col("doc_id") % 45, F.col("text"), lookup(F.col("lang"), AREA_BY_LANG))
-    return rounded(table(spark, sf, "documents").select("doc_id", score.alias("complexity_score")), 6, "complexity_score")
+    return rounded(narratives(spark, sf).select("doc_id", score.alias("complexity_score")), 6, "complexity_score")

@@ -12,7 +12,7 @@ from ..operators import coherence as C
 from ..operators import outliers as O
 from ..operators import topics as T
 from ..operators.profile import rounded
-from .registry import GAMMA_SQL, IMPACT_SQL, NOISE_SQL, gamma, impact, query, sql_list, table, vectors_noise
+from .registry import GAMMA_SQL, IMPACT_SQL, NOISE_SQL, gamma, impact, narratives, query, sql_list, table, vectors_noise
 from .texts import ngrams_sql, words_sql
 
 LANGS = ["de", "en", "es", "fr"]
@@ -35,7 +35,7 @@ def _top_sql(topic, n):
 
 
 def top_by(spark, sf, topic, n):
-    tf = T.class_terms(table(spark, sf, "documents"), topic, _tokens())
+    tf = T.class_terms(narratives(spark, sf), topic, _tokens())
     return T.top_terms(T.ctfidf(tf, topic), topic, n)
 
 
@@ -46,7 +46,7 @@ def t03(spark, sf):
 
 @query("t04_reduce_topics")
 def t04(spark, sf):
-    d = table(spark, sf, "documents").select("doc_id", "source", "text")
+    d = narratives(spark, sf).select("doc_id", "source", "text")
     return T.reduce_topics(d, "source", _tokens(), 10).select("doc_id", "source", "topic_reduced")
 
 
@@ -55,7 +55,7 @@ _NOISY = """(SELECT doc_id, text, CASE WHEN lang = 'fr' THEN -1 ELSE CAST(substr
 
 
 def _noisy(spark, sf):
-    return table(spark, sf, "documents").select(
+    return narratives(spark, sf).select(
         "doc_id", "text", F.when(F.col("lang") == "fr", -1).otherwise(F.substring("source", 4, 9).cast("int")).alias("topic"))
 
 
@@ -187,7 +187,7 @@ def t10(spark, sf):
   AS rank FROM (SELECT vec_id, i - 1 AS topic, gamma[i] AS p FROM (SELECT vec_id, gamma, unnest(range(1, 65)) AS i FROM {GAMMA_SQL})
   JOIN documents ON vec_id = doc_id)) t JOIN documents d ON t.vec_id = d.doc_id WHERE rank <= 5""")
 def t10b(spark, sf):
-    j = table(spark, sf, "documents").select("doc_id", "text").join(
+    j = narratives(spark, sf).select("doc_id", "text").join(
         gamma(spark, sf).withColumnRenamed("vec_id", "doc_id"), "doc_id")
     return T.representative_by_prob(j, "doc_id", "gamma", "text", 5)
 
@@ -249,7 +249,7 @@ _HAS = f"(SELECT doc_id, list_distinct(list_filter({words_sql()}, lambda w: list
 
 
 def _docs(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", X.word_tokens(F.col("text")).alias("t"))
+    return narratives(spark, sf).select("doc_id", X.word_tokens(F.col("text")).alias("t"))
 
 
 @query("t21_coherence_umass", f"""WITH h AS {_HAS}, p AS (SELECT * FROM (VALUES {_PAIRS}) v(topic, i, j, wi, wj))
@@ -317,7 +317,7 @@ _PHI = f"""phi AS (SELECT lang, term, count(*) / sum(count(*)) OVER (PARTITION B
 
 
 def _phi(spark, sf):
-    tf = T.class_terms(table(spark, sf, "documents"), "lang", X.word_tokens(F.col("text")))
+    tf = T.class_terms(narratives(spark, sf), "lang", X.word_tokens(F.col("text")))
     return T.topic_term_probs(tf, "lang")
 
 
@@ -340,7 +340,7 @@ def t26(spark, sf):
   SELECT round(sse, 6) AS sse, round(sst, 6) AS sst, round(1 - sse / sst, 6) AS mv_r2 FROM e""")
 def t27(spark, sf):
     from ..operators.textfeatures import term_counts
-    d = table(spark, sf, "documents")
+    d = narratives(spark, sf)
     tf = term_counts(d, ["doc_id"], X.word_tokens(F.col("text")))
     from pyspark.sql import Window
     y = tf.select("doc_id", "term", (F.col("tf") / F.sum("tf").over(Window.partitionBy("doc_id"))).alias("p"))
@@ -391,7 +391,7 @@ _TITLE = "array_to_string(list_transform(string_split(term, ' '), lambda w: uppe
   SELECT source, rank, term, {_TITLE} AS phrase, CAST(cf AS BIGINT) AS cf, df FROM (SELECT *, row_number() OVER (PARTITION BY source
   ORDER BY n DESC, cf DESC, term DESC) AS rank FROM ok WHERE n = best) WHERE rank <= 2""")
 def t30(spark, sf):
-    d = table(spark, sf, "documents").select("doc_id", "source", _tokens().alias("t"))
+    d = narratives(spark, sf).select("doc_id", "source", _tokens().alias("t"))
     return T.phrase_names(d, "doc_id", "source", "t")
 
 

@@ -14,7 +14,7 @@ from ..operators import windows as W
 from ..operators.profile import rounded
 from ..sources import tables as S
 from .basics import _scratch
-from .registry import gamma, query, table
+from .registry import gamma, narratives, query, table
 
 TOPICS = 8
 _FITTED: dict = {}
@@ -25,7 +25,7 @@ def fitted(spark, sf):
     at = (spark.sparkContext.applicationId, sf)
     if at not in _FITTED:
         stop = list(K.ENGLISH_STOP) + K.DOMAIN_STOP
-        d = table(spark, sf, "documents").select("doc_id", "source", "text")
+        d = narratives(spark, sf).select("doc_id", "source", "text")
         d = d.withColumn("tokens", X.simple_tokens(F.col("text"), stop))
         cv, bow = L.bag_of_words(d, "doc_id", "tokens", 5, 0.9)
         _FITTED[at] = (cv, bow, L.fit_lda(bow, "doc_id", TOPICS, passes=4))
@@ -34,7 +34,7 @@ def fitted(spark, sf):
 
 @query("t01_embed_documents")
 def t01(spark, sf):
-    e = CL.embed_documents(table(spark, sf, "documents").select("doc_id", "text"), features=256, dims=16)
+    e = CL.embed_documents(narratives(spark, sf).select("doc_id", "text"), features=256, dims=16)
     return e.select("doc_id", F.posexplode("embedding").alias("pos", "value"))
 
 

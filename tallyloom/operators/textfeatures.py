@@ -65,7 +65,8 @@ def spread_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 def term_counts(df: DataFrame, keys: Sequence[str], tokens: Column) -> DataFrame:
     """(keys, term, tf). The text crosses the network once, before it is exploded;
     counting then happens in place."""
-    words = spread_rows(df, keys).select(*keys, tokens.alias("_t")).select(*keys, F.explode("_t").alias("term"))
+    # Exploding the expression itself keeps the token array out of the exploded rows.
+    words = spread_rows(df, keys).select(*keys, F.explode(tokens).alias("term"))
     return words.groupBy(*keys, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 

@@ -54,3 +54,10 @@ def attach_group_size(df: DataFrame, keys: Sequence[str], name: str = "group_siz
     """Adds the size of each row's group; groups are counted map-side first."""
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
     return lookup_by_weight(df, sizes, keys, name, hot_rows)
+
+
+def use_all_cores(df: DataFrame) -> DataFrame:
+    """Deal rows out when the file layout gives fewer tasks than there are cores (a few
+    unsplittable files); a layout with enough splits is left alone, without a shuffle."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
