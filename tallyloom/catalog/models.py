@@ -46,25 +46,27 @@ def _topic_features(df, topic_id):
                             for i, c in enumerate(TOPIC_COLS)])
 
 
-def fitted(spark, sf):
-    """The three models, fitted once per session and data folder on the training rows."""
-    at = (spark.sparkContext.applicationId, sf)
-    if at not in _MODELS:
-        src = _texts(spark, sf).filter("impact_class IS NOT NULL")
-        src = src.withColumn("quality", F.col("impact").isin("Both", "Rights-impacting").cast("int"))
-        train = E.stratified_split(src, "impact_class", "doc_id").filter(~F.col("is_test"))
-        m1 = M.fit_text_classifier(train, "row_text", "impact_class", max_iter=30)
-        m3 = M.fit_text_classifier(train, "row_text", "quality", binary=True, max_iter=30)
+def fitted(spark, sf, which: str):
+    """One of the three models, fitted once per session and data folder on training rows."""
+    at = (spark.sparkContext.applicationId, sf, which)
+    if at in _MODELS:
+        return _MODELS[at]
+    if which == "complexity":
         scored = narratives(spark, sf).select("doc_id", scoring.complexity_score(
             F.col("doc_id") % 40, F.col("text"), lookup(F.col("lang"), AREA_BY_LANG)).alias("score"))
-        m2 = M.fit_numeric_classifier(
-            _topic_features(M.above_median(scored, "score"), F.col("doc_id") % 40), TOPIC_COLS, "label", 30)
-        _MODELS[at] = (m1, m2, m3)
+        rows = _topic_features(M.above_median(scored, "score"), F.col("doc_id") % 40)
+        _MODELS[at] = M.fit_numeric_classifier(rows, TOPIC_COLS, "label", 30)
+        return _MODELS[at]
+    src = _texts(spark, sf).filter("impact_class IS NOT NULL")
+    src = src.withColumn("quality", F.col("impact").isin("Both", "Rights-impacting").cast("int"))
+    train = E.stratified_split(src, "impact_class", "doc_id").filter(~F.col("is_test"))
+    label, binary = ("impact_class", False) if which == "impact" else ("quality", True)
+    _MODELS[at] = M.fit_text_classifier(train, "row_text", label, binary=binary, max_iter=30)
     return _MODELS[at]
 
 
 def _predicted(spark, sf):
-    m1, _, _ = fitted(spark, sf)
+    m1 = fitted(spark, sf, "impact")
     src = _texts(spark, sf).filter("impact_class IS NOT NULL")
     test = E.stratified_split(src, "impact_class", "doc_id").filter("is_test")
     return M.predict(m1, test.select("doc_id", "source", "impact", "impact_class", "row_text").withColumnRenamed(
@@ -79,7 +81,7 @@ def m03(spark, sf):
 
 @query("m04_resourcing_classifier")
 def m04(spark, sf):
-    _, _, m3 = fitted(spark, sf)
+    m3 = fitted(spark, sf, "resourcing")
     p = M.predict(m3, _texts(spark, sf).select("doc_id", "row_text"), "row_text", "resourcing")
     return p.select("doc_id", "resourcing_class", F.round("resourcing_confidence", 4).alias("confidence"))
 
@@ -110,7 +112,7 @@ def m05(spark, sf):
 
 @query("m06_predict_all")
 def m06(spark, sf):
-    m1, _, _ = fitted(spark, sf)
+    m1 = fitted(spark, sf, "impact")
     p = M.predict(m1, _texts(spark, sf).select("doc_id", "row_text"), "row_text", "impact")
     return p.groupBy("impact_class").agg(F.count(F.lit(1)).alias("docs"), F.round(F.avg("impact_confidence"), 4).alias("confidence"))
 
@@ -172,13 +174,13 @@ def m10b(spark, sf):
 
 @query("m11_top_coefficients")
 def m11(spark, sf):
-    m1, _, _ = fitted(spark, sf)
+    m1 = fitted(spark, sf, "impact")
     return rounded(M.top_coefficients(m1, spark, 20), 6, "coefficient")
 
 
 @query("m12_probability_histogram")
 def m12(spark, sf):
-    _, _, m3 = fitted(spark, sf)
+    m3 = fitted(spark, sf, "resourcing")
     src = _texts(spark, sf).filter("impact IS NOT NULL").select(
         "row_text", F.col("impact").isin("Both", "Rights-impacting").cast("int").alias("y"))
     p = M.predict(m3, src, "row_text", "r").select("y", F.get("r_probs", F.lit(1)).alias("p"))
@@ -233,7 +235,7 @@ def proposals(df):
 
 
 def score(spark, sf, df):
-    m1, m2, m3 = fitted(spark, sf)
+    m1, m2, m3 = (fitted(spark, sf, w) for w in ("impact", "complexity", "resourcing"))
     s = M.score_proposals(proposals(df), "proposal", m1, m3, m2, "topic_id")
     return rounded(s.drop("proposal", *TOPIC_COLS), 4, "impact_confidence", "complexity_confidence",
                    "resourcing_confidence", "novelty")

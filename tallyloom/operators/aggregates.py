@@ -85,7 +85,7 @@ def group_proportions(df: DataFrame, g: str, c: str, values: Sequence[str]) -> D
     """A4: within-group shares over all non-NULL answers, 0 filled."""
     return df.filter(F.col(g).isNotNull()).groupBy(g).agg(
         *[F.coalesce(F.try_divide(F.count_if(F.col(c) == v).cast("double"), F.count(c)), F.lit(0.0)).alias(v)
-          for v in values]).filter(sum((F.col(f"`{v}`") for v in values), F.lit(0.0)) >= 0)
+          for v in values])
 
 
 IMPACT_TYPES = ("Rights-impacting", "Safety-impacting", "Both")

@@ -53,7 +53,7 @@ def collapse_copies(df: DataFrame, key: str, vec: str) -> tuple[DataFrame, DataF
     return points.select("rep", "v", "weight"), members.select(key, "rep")
 
 
-def neighbours(points: DataFrame, eps: float, pivots: int = 64, cell_rows: int = 20_000) -> DataFrame:
+def neighbours(points: DataFrame, eps: float, pivots: int | None = None, cell_rows: int = 20_000) -> DataFrame:
     """(src, dst, weight): all pairs with cosine >= 1 - eps, both directions, self included.
 
     Exact. Every point lives in the cell of its nearest pivot and is also sent to each
@@ -61,6 +61,9 @@ def neighbours(points: DataFrame, eps: float, pivots: int = 64, cell_rows: int =
     j forces d(x, pivot_j) <= d(x, nearest) + 2 r. Cells above ``cell_rows`` residents are
     split; visitors go to every split.
     """
+    if not pivots:
+        # More points, more and smaller cells; the answer does not depend on it.
+        pivots = max(16, min(4096, int(points.count() ** 0.5)))
     picked = points.select("rep", "v").orderBy(F.xxhash64("rep"), "rep").limit(pivots).collect()
     mat = np.array([r["v"] for r in picked], dtype=np.float64)
     reach = 2 * np.sqrt(2 * eps) + 1e-9
@@ -107,7 +110,7 @@ def connected_components(edges: DataFrame, nodes: DataFrame, max_rounds: int = 6
 
 
 def density_topics(df: DataFrame, key: str, vec: str, eps: float = 0.3, min_samples: int = 5,
-                   min_cluster: int = 15, pivots: int = 64, cell_rows: int = 20_000) -> DataFrame:
+                   min_cluster: int = 15, pivots: int | None = None, cell_rows: int = 20_000) -> DataFrame:
     """(key, topic). Rows with at least min_samples neighbours (themselves included)
     within eps are core; linked cores form a topic, other rows join the topic of a core
     neighbour (smallest id), topics below min_cluster rows and lone rows are -1. A topic

@@ -87,13 +87,17 @@ def numeric_features(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def fit_numeric_classifier(df: DataFrame, columns: Sequence[str], label: str, max_iter: int = 100) -> PipelineModel:
     """M5: scaled without centring, plain logistic regression."""
-    stages = [
-        VectorAssembler(inputCols=list(columns), outputCol="_raw"),
-        StandardScaler(inputCol="_raw", outputCol="features", withMean=False, withStd=True),
-        LogisticRegression(featuresCol="features", labelCol=label, standardization=False,
-                           regParam=1.0 / max(df.count(), 1), maxIter=max_iter),
-    ]
-    return Pipeline(stages=stages).fit(df)
+    src = df.select(*columns, label).persist()
+    try:
+        stages = [
+            VectorAssembler(inputCols=list(columns), outputCol="_raw"),
+            StandardScaler(inputCol="_raw", outputCol="features", withMean=False, withStd=True),
+            LogisticRegression(featuresCol="features", labelCol=label, standardization=False,
+                               regParam=1.0 / max(src.count(), 1), maxIter=max_iter),
+        ]
+        return Pipeline(stages=stages).fit(src)
+    finally:
+        src.unpersist()
 
 
 def top_coefficients(model: PipelineModel, spark, n: int = 20) -> DataFrame:

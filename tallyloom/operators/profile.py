@@ -20,16 +20,18 @@ def long_values(df: DataFrame) -> DataFrame:
 
 
 def column_stats(df: DataFrame, long_chars: int = 100) -> DataFrame:
-    """P1. Cells are counted per (column, value) first, so a repeated answer crosses
-    the network once per task and a column of one hot value is no hot group."""
-    vals = long_values(df).groupBy("column", "value").agg(F.count(F.lit(1)).alias("c"))
+    """P1. Cells are counted per (column, digest, length) first: a repeated answer crosses
+    the network once per task, a long narrative as 32 characters, and a column of one
+    hot value is no hot group."""
+    cells = long_values(df).select("column", F.md5("value").alias("h"), F.length("value").alias("len"))
+    vals = cells.groupBy("column", "h", "len").agg(F.count(F.lit(1)).alias("c"))
     # Splitting each column's values over many partial groups keeps wide columns parallel.
-    part = vals.groupBy("column", F.pmod(F.xxhash64("value"), F.lit(64)).alias("_p")).agg(
+    part = vals.groupBy("column", F.pmod(F.xxhash64("h"), F.lit(64)).alias("_p")).agg(
         F.sum("c").alias("n"),
-        F.sum(F.when(F.col("value").isNotNull(), F.col("c")).otherwise(0)).alias("nn"),
-        F.count("value").alias("nunique"),
-        F.sum(F.length("value") * F.col("c")).alias("chars"),
-        F.sum(F.when(F.length("value") > long_chars, F.col("c")).otherwise(0)).alias("n_long"),
+        F.sum(F.when(F.col("h").isNotNull(), F.col("c")).otherwise(0)).alias("nn"),
+        F.count("h").alias("nunique"),
+        F.sum(F.col("len") * F.col("c")).alias("chars"),
+        F.sum(F.when(F.col("len") > long_chars, F.col("c")).otherwise(0)).alias("n_long"),
     )
     s = part.groupBy("column").agg(*[F.sum(x).alias(x) for x in ("n", "nn", "nunique", "chars", "n_long")])
     zero = lambda c: F.coalesce(c, F.lit(0.0))
