@@ -94,9 +94,9 @@ def describe(df: DataFrame, value: str, probs=((0.25, "p25"), (0.5, "p50"), (0.7
         F.count(v).alias("count"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"),
         F.min(v).alias("min"), F.max(v).alias("max"),
     )
-    q = exact_quantiles(df, value, {name: p for p, name in probs})
-    # Two one-row results side by side.
-    return base.withColumn("_k", F.lit(1)).join(q.withColumn("_k", F.lit(1)), "_k").drop("_k")
+    names = [name for _, name in probs]
+    q = exact_quantiles(df, value, {name: p for p, name in probs}).select(F.struct(*names).alias("q")).scalar()
+    return base.withColumn("_q", q).select(*base.columns, *[F.col(f"_q.{n}").alias(n) for n in names])
 
 
 def rounded(df: DataFrame, digits: int, *cols: str) -> DataFrame:

@@ -198,8 +198,7 @@ def cohesion_separation(df: DataFrame, topic: str, vec: str, hot_rows: int = HOT
     sep = tot.select(
         F.when(F.col("k") >= 2,
                1 - (V.dot(F.col("s"), F.col("s")) - F.col("k")) / (F.col("k") * (F.col("k") - 1))).alias("separation"))
-    one = F.lit(1).alias("_k")
-    return coh.select("*", one).join(sep.select("*", one), "_k").drop("_k")
+    return coh.withColumn("separation", sep.scalar())
 
 
 def silhouette(df: DataFrame, topic: str, vec: str) -> float | None:
@@ -285,8 +284,7 @@ def mv_r2(terms: DataFrame, theta: DataFrame, phi: DataFrame, key: str, k: int)
         F.sum(V.dot(F.col("a"), F.coalesce("phi", zero))).alias("cross"))
     quad = gram(theta, "theta").withColumnRenamed("g", "g1").join(
         gram(phi, "phi"), ["i", "j"]).agg(F.sum(F.col("g1") * F.col("g")).alias("quad"))
-    one = F.lit(1).alias("_k")
-    both = lin.select("*", one).join(quad.select("*", one), "_k").withColumn("n", n)
+    both = lin.withColumns({"quad": quad.scalar(), "n": n})
     sse = F.col("y2") - 2 * F.col("cross") + F.col("quad")
     sst = F.col("y2") - F.col("s2") / F.col("n")
     return both.select(sse.alias("sse"), sst.alias("sst"), F.when(sst > 0, 1 - sse / sst).alias("mv_r2"))
