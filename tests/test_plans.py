@@ -40,10 +40,10 @@ def test_quantiles_null_group_and_values(spark):
     assert got == {None: 2.0, "a": 2.0}
 
 
-@pytest.mark.parametrize("key", ["id", "name"])
-def test_dense_index(spark, key):
+@pytest.mark.parametrize("key,parts", [("id", 16), ("id", 200), ("name", 16), ("id", None)])
+def test_dense_index(spark, key, parts):
     df = spark.range(997).select((F.col("id") * 7 + 3).alias("id"), F.concat(F.lit("n"), F.hash("id")).alias("name"))
-    got = R.dense_index(df, key, parts=16).toPandas().sort_values(key)
+    got = R.dense_index(df, key, parts=parts).toPandas().sort_values(key)
     assert got.doc_index.tolist() == list(range(997))
 
 
