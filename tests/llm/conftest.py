@@ -1,0 +1 @@
+"""The session comes from tests/conftest.py."""
