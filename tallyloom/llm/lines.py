@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .registry import query, table
-from .util import SPACES, ascii_lower, digest, inner_join_hot
+from .util import SPACES, ascii_lower, digest, join_hot
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -46,24 +46,20 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         .filter(F.col("_n") >= min_docs)
     )
     lost = (
-        inner_join_hot(found, shared, ["_h"], "_w")
+        join_hot(found, shared, ["_h"], "_w")
         .filter(~F.col("_id").eqNullSafe(F.col("_first")))
         .groupBy(F.col("_id").alias("_lid"), F.col("_own").alias("_lown"))
         .agg(F.flatten(F.collect_list("_pos")).alias("_lost"))
     )
-    parts = F.split("_text", "\n")
-    stay = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("_lost"))
-    text = F.array_join(F.transform(F.col("_stay"), lambda i: F.get(F.col("_parts"), i)), "\n")
-    out = (
-        d.join(lost, F.col("_id").eqNullSafe(F.col("_lid")) & (F.col("_own") == F.col("_lown")), "left")
-        .select("_row", "_text", "_lost", F.size(parts).cast("long").alias("n_lines"),
-                F.when(F.col("_lost").isNotNull(), parts).alias("_parts"),
-                F.when(F.col("_lost").isNotNull(), stay).alias("_stay"))
-    )
+    out = d.join(lost, F.col("_id").eqNullSafe(F.col("_lid")) & (F.col("_own") == F.col("_lown")), "left").select(
+        "_row", "_text", "_lost", F.split("_text", "\n").alias("_parts"))
+    stay = F.array_except(F.sequence(F.lit(0), F.size("_parts") - 1), F.col("_lost"))
+    text = F.when(F.col("_lost").isNull(), F.col("_text")).otherwise(
+        F.array_join(F.transform(stay, lambda i: F.get(F.col("_parts"), i)), "\n"))
     return out.select(
-        *[(F.when(F.col("_stay").isNull(), F.col("_text")).otherwise(text) if c == text_col
-           else F.col(f"_row.`{c}`")).alias(c) for c in keep],
-        "n_lines", F.coalesce(F.size("_lost"), F.lit(0)).cast("long").alias("n_dropped"),
+        *[(text if c == text_col else F.col(f"_row.`{c}`")).alias(c) for c in keep],
+        F.size("_parts").cast("long").alias("n_lines"),
+        F.coalesce(F.size("_lost"), F.lit(0)).cast("long").alias("n_dropped"),
     )
 
 

@@ -44,12 +44,12 @@ def digest(text: Column) -> Column:
     return F.unhex(F.md5(text))
 
 
-def inner_join_hot(left: DataFrame, right: DataFrame, keys: Sequence[str], weight: str,
-                   most: int = 10_000) -> DataFrame:
-    """Inner join on ``keys`` of which a few may hold most of ``left``.
+def join_hot(left: DataFrame, right: DataFrame, keys: Sequence[str], weight: str,
+                   most: int = 10_000, how: str = "inner") -> DataFrame:
+    """Inner (or left) join on ``keys`` of which a few may hold most of ``left``.
 
     ``right`` has one row per key and in ``weight`` the number of left rows with it. Keys
-    with at least sum(weight) / ``most`` rows go by broadcast; there can be at most ``most``
+    with at least sum(weight) / ``most`` rows (and over 1,000) go by broadcast; there can be at most ``most``
     of them, whatever the data. The others meet in a shuffled join in which no key is hot.
     ``left`` is evaluated twice: hand over something that ends in a shuffle or a table.
     """
@@ -58,5 +58,5 @@ def inner_join_hot(left: DataFrame, right: DataFrame, keys: Sequence[str], weigh
     right = right.withColumn("_hot", (F.col(weight) * most >= total) & (F.col(weight) > 1000))
     hot, cold = right.filter("_hot").drop("_hot"), right.filter("NOT _hot").drop("_hot")
     first = left.join(F.broadcast(hot), keys)
-    rest = left.join(F.broadcast(hot.select(keys)), keys, "left_anti").join(cold, keys)
+    rest = left.join(F.broadcast(hot.select(keys)), keys, "left_anti").join(cold, keys, how)
     return first.unionByName(rest)
