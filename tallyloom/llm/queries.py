@@ -1,6 +1,6 @@
 """All queries of the subpackage; importing this registers them."""
 
 from . import (  # noqa: F401
-    bpe, lines, rules, secrets, warc,
+    bpe, decontam, lines, rules, secrets, warc,
 )
 from .registry import QUERIES, SQL  # noqa: F401
