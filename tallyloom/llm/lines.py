@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .registry import query, table
-from .util import SPACES, ascii_lower, digest, join_hot
+from .util import SPACES, ascii_lower, digest, join_hot, saved
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -17,8 +17,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Keys of at least ``min_chars`` code points found in at least ``min_docs`` documents lose
     all their lines except in the smallest id that holds them (there, all of them stay).
 
-    Lines are exploded with their positions, hashed, and counted per distinct document; only
-    keys, ids and positions are shuffled for it. A key that many documents share is looked up
+    Lines are exploded with their positions and hashed once, into a table of keys, ids and
+    positions in the shared folder; from it they are counted per distinct document. A key that many documents share is looked up
     by broadcast (at most 10,000 such keys, whatever the data). What moves with its text is
     each document once, to meet the positions it loses.
 
@@ -29,27 +29,23 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     keep = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
     d = docs.select(
-        F.struct(*[F.col(c) for c in keep]).alias("_row"), F.col(id_col).alias("_id"),
+        F.struct(*[F.col(c) for c in keep if c != text_col]).alias("_row"), F.col(id_col).alias("_id"),
         F.coalesce(F.col(text_col), F.lit("")).alias("_text"),
     ).withColumn("_own", digest(F.col("_text")))
     lines = d.select("_id", "_own", F.posexplode(F.split("_text", "\n")).alias("_pos", "_line")).select(
         "_id", "_own", "_pos", ascii_lower(F.btrim("_line", F.lit(SPACES))).alias("_key"))
-    found = (
-        lines.filter(F.length("_key") >= min_chars)
-        .groupBy(digest(F.col("_key")).alias("_h"), "_id", "_own")
-        .agg(F.collect_set("_pos").alias("_pos"))
-    )
-    per_doc = found.groupBy("_h", "_id").agg(F.count(F.lit(1)).alias("_w"))
+    found = saved(lines.filter(F.length("_key") >= min_chars).select(
+        digest(F.col("_key")).alias("_h"), "_id", "_own", "_pos"), "line-keys")
     shared = (
-        per_doc.groupBy("_h").agg(F.count(F.lit(1)).alias("_n"), F.sum("_w").alias("_w"),
-                                  F.min("_id").alias("_first"))
+        found.groupBy("_h", "_id").agg(F.count(F.lit(1)).alias("_w"))
+        .groupBy("_h").agg(F.count(F.lit(1)).alias("_n"), F.sum("_w").alias("_w"), F.min("_id").alias("_first"))
         .filter(F.col("_n") >= min_docs)
     )
     lost = (
         join_hot(found, shared, ["_h"], "_w")
         .filter(~F.col("_id").eqNullSafe(F.col("_first")))
         .groupBy(F.col("_id").alias("_lid"), F.col("_own").alias("_lown"))
-        .agg(F.flatten(F.collect_list("_pos")).alias("_lost"))
+        .agg(F.collect_set("_pos").alias("_lost"))
     )
     out = d.join(lost, F.col("_id").eqNullSafe(F.col("_lid")) & (F.col("_own") == F.col("_lown")), "left").select(
         "_row", "_text", "_lost", F.split("_text", "\n").alias("_parts"))
