@@ -19,14 +19,14 @@ RECORDS = """record_id string, record_type string, target_uri string, date strin
   concurrent_to array<string>, refers_to string, content_type string, block_bytes long, http_status int,
   http_headers map<string,string>, fields map<string,string>, payload_bytes long, payload_digest string,
   digest_ok boolean, payload binary"""
-SMALL_PAGE = 64 * 1024          # bytes; larger payloads are archived apart, few to a file
+SMALL_PAGE = 256 * 1024         # bytes; larger payloads are archived apart, few to a file
 
 
-def base32_sha1(payload: Column) -> Column:
-    """Upper-case base32 of the SHA-1 digest: each 5 hex digits are 4 letters."""
-    hexa, letters = F.sha1(payload), []
+def base32(hex_digest: Column) -> Column:
+    """Upper-case base32 of 40 hex digits: each 5 of them are 4 letters."""
+    letters = []
     for k in range(8):
-        n = F.conv(F.substring(hexa, 5 * k + 1, 5), 16, 10).cast("int")
+        n = F.conv(F.substring(hex_digest, 5 * k + 1, 5), 16, 10).cast("int")
         for shift in (15, 10, 5, 0):
             letters.append(F.substring(F.lit(ALPHABET), F.shiftright(n, shift).bitwiseAND(31) + 1, F.lit(1)))
     return F.concat(*letters)
@@ -59,8 +59,9 @@ def write_captures(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
     Of rows with equal payloads of at least ``min_bytes`` bytes, those with the smallest id
     are responses and the others revisits of it, without a body; smaller payloads are always
     responses. Request and metadata name their response in WARC-Concurrent-To; the metadata
-    record holds the id. Archives are gzip files below ``folder/small`` (up to 4,000 pages of
-    at most 64 KiB each) and ``folder/large`` (up to 16 pages each), so no file outgrows a task.
+    record holds the id. Archives are gzip files below ``folder/small`` (up to 1,000 pages of
+    at most 256 KiB each) and, if there are larger ones, ``folder/large`` (up to 16 pages
+    each), so no file outgrows a task.
 
     Null payload: empty. Null URL: ``about:blank``; white space in URLs is percent-coded.
     Null id: the metadata has no id line; such rows lose to any id, and among equal payloads
@@ -70,11 +71,13 @@ def write_captures(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
     p = pages.select(
         F.col(id_col).alias("id"), _one_line(F.coalesce(F.col(url_col), F.lit("about:blank"))).alias("url"),
         F.coalesce(F.col(payload_col).cast("binary"), F.lit(b"")).alias("body"),
-    ).withColumns({"digest": base32_sha1(F.col("body")), "size": F.octet_length("body").cast("long")})
+    ).select("*", F.sha1("body").alias("digest"), F.octet_length("body").cast("long").alias("size"))
+    keys = saved(p.select("id", "digest", "size"), "payload-digests")
     repeated = (
-        p.filter(F.col("size") >= min_bytes).groupBy("digest")
+        keys.filter(F.col("size") >= min_bytes).groupBy("digest")
         .agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("w")).filter("w > 1")
     )
+    any_large = keys.filter(F.col("size") > SMALL_PAGE).limit(1).count() > 0
     p = join_hot(p, repeated, ["digest"], "w", how="left")
     revisit = (F.col("size") >= min_bytes) & F.col("first").isNotNull() & ~F.col("id").eqNullSafe(F.col("first"))
     text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("null"))
@@ -90,7 +93,7 @@ def write_captures(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
     kind = F.when(F.col("revisit"), "revisit").otherwise("response")
     main = _record([
         ("WARC-Type", kind), ("WARC-Record-ID", F.col("rid")), *base,
-        ("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("digest"))),
+        ("WARC-Payload-Digest", F.concat(F.lit("sha1:"), base32(F.col("digest")))),
         ("WARC-Profile", F.when(F.col("revisit"), F.lit(
             "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"))),
         ("WARC-Refers-To", F.when(F.col("revisit"), named)),
@@ -105,7 +108,8 @@ def write_captures(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
         ("WARC-Concurrent-To", F.col("rid")), ("Content-Type", F.lit("application/warc-fields"))], note)
     # The three records of a page stand together, so the writer's row limit counts pages.
     records = p.select("size", F.concat(request, F.lit("\n"), main, F.lit("\n"), metadata).alias("value"))
-    for part, rows, most in (("small", F.col("size") <= SMALL_PAGE, 4000), ("large", F.col("size") > SMALL_PAGE, 16)):
+    parts = [("small", F.col("size") <= SMALL_PAGE, 1000)] + [("large", F.col("size") > SMALL_PAGE, 16)] * any_large
+    for part, rows, most in parts:
         (records.filter(rows).select("value").write.option("compression", "gzip")
          .option("maxRecordsPerFile", most).text(f"{folder}/{part}"))
 
@@ -268,7 +272,7 @@ def op1_warc_transactions(spark, sf):
     """All pages archived, read back and assembled into captures."""
     folder = shared_folder(spark, "warc")
     write_captures(table(spark, sf, "pages"), folder)
-    records = saved(read_records(spark, f"{folder}/small", f"{folder}/large", payload=False).drop("payload"), "records")
+    records = saved(read_records(spark, folder, payload=False).drop("payload"), "records")
     c = assemble(records)
     return c.select(
         F.col("metadata.fields")["page_id"].cast("long").alias("page_id"),

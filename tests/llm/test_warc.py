@@ -24,7 +24,7 @@ def test_query_equals_sql(spark):
 def captures(spark, rows, schema="page_id long, url string, html string", **how):
     folder = shared_folder(spark, "warc-test")
     warc.write_captures(spark.createDataFrame(rows, schema), folder, **how)
-    return warc.assemble(warc.read_records(spark, f"{folder}/small", f"{folder}/large"))
+    return warc.assemble(warc.read_records(spark, folder))
 
 
 def rows_of(df):
