@@ -11,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .lookup import Table
 from .registry import query, table
 
 NONE = np.int32(2**31 - 1)          # no such pair
@@ -18,7 +19,6 @@ LONG = 256                          # bytes; longer pieces merge with a heap, no
 ROWS = 16_384                       # pieces in one matrix
 CACHE = 400_000                     # pieces a worker remembers before it starts afresh
 MOST_RANKS = 1_000_000              # a rank table larger than this is not broadcast
-_MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
 def read_ranks(path: str) -> list[bytes]:
@@ -38,9 +38,7 @@ def read_ranks(path: str) -> list[bytes]:
 class Merges:
     """Pair lookup for one rank table: (left id, right id) -> id of the joined bytes.
 
-    Pairs sit in an open-addressing table of numpy arrays, at most a quarter full, and are
-    looked up a matrix at a time: one multiply-shift hash, then linear probes for what has
-    not been settled.
+    Pairs sit in a hash table of numpy arrays and are looked up a matrix at a time.
     """
 
     def __init__(self, tokens: Sequence[bytes]):
@@ -53,83 +51,72 @@ class Merges:
                 a, b = self.ids.get(t[:cut]), self.ids.get(t[cut:])
                 if a is not None and b is not None:
                     left.append(a), right.append(b), out.append(i)
-        bits = max(4, int(np.ceil(np.log2(4 * len(out) + 1))))
-        self.shift, self.mask = np.uint64(64 - bits), np.int64((1 << bits) - 1)
-        self.keys = np.full(1 << bits, -1, np.int64)
-        self.values = np.full(1 << bits, NONE, np.int32)
         keys = np.array(left, np.int64) << 32 | np.array(right, np.int64)
-        values, slots = np.array(out, np.int32), self.slots(keys)
-        while keys.size:
-            first = np.unique(slots, return_index=True)[1]
-            free = first[self.keys[slots[first]] < 0]
-            self.keys[slots[free]], self.values[slots[free]] = keys[free], values[free]
-            left_over = np.ones(keys.size, bool)
-            left_over[free] = False
-            keys, values, slots = keys[left_over], values[left_over], (slots[left_over] + 1) & self.mask
+        self.pairs = Table(keys, np.array(out, np.int32), NONE)
         sizes = np.array([len(t) for t in self.tokens], np.int64)
         self.size, self.start = sizes, np.concatenate([[0], np.cumsum(sizes)[:-1]])
         self.bytes = np.frombuffer(b"".join(self.tokens), np.uint8)
 
-    def slots(self, keys: np.ndarray) -> np.ndarray:
-        return ((keys.astype(np.uint64) * _MIX) >> self.shift).astype(np.int64)
-
     def rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        keys = left.astype(np.int64) << 32 | right.astype(np.int64)
-        shape, keys = keys.shape, keys.ravel()
-        at = self.slots(keys)
-        found = self.keys[at]
-        out = np.where(found == keys, self.values[at], NONE)
-        open_ = np.flatnonzero((found != keys) & (found >= 0))
-        while open_.size:
-            at_open = (at[open_] + 1) & self.mask
-            at[open_], found = at_open, self.keys[at_open]
-            hit = found == keys[open_]
-            out[open_[hit]] = self.values[at_open[hit]]
-            open_ = open_[~hit & (found >= 0)]
-        return out.reshape(shape)
-
-    def encode_pieces(self, pieces: Sequence[bytes]) -> list[np.ndarray]:
-        """Ids of each piece. A piece that is a token is that token."""
-        out: list[np.ndarray | None] = [None] * len(pieces)
-        buckets: dict[int, list[int]] = {}
+        return self.pairs.get(left.astype(np.int64) << 32 | right.astype(np.int64))
+
+    def encode_pieces(self, pieces: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all pieces end to end, and the number of each. A piece that is a token is that token."""
+        size = np.ones(len(pieces), np.int64)
+        done: list[tuple[np.ndarray, np.ndarray]] = []      # rows, their ids end to end
+        whole, ids, buckets = [], [], {}
         for i, p in enumerate(pieces):
-            whole = self.ids.get(p)
-            if whole is not None or not p:
-                out[i] = np.array([whole] if p else [], np.int32)
-            elif len(p) > LONG:
-                out[i] = self.merge_long(p)
+            known = self.ids.get(p)
+            if known is not None:
+                whole.append(i)
+                ids.append(known)
+            elif len(p) <= 16:
+                buckets.setdefault(len(p), []).append(i)
+            elif len(p) <= LONG:
+                buckets.setdefault(-(-len(p) // 16) * 16, []).append(i)
             else:
-                buckets.setdefault(len(p) if len(p) <= 16 else -(-len(p) // 16) * 16, []).append(i)
+                got = self.merge_long(p)
+                size[i] = got.size
+                done.append((np.array([i]), got))
+        done.append((np.array(whole, np.int64), np.array(ids, np.int32)))
+        size[buckets.pop(0, [])] = 0
         for width, rows in buckets.items():
             for k in range(0, len(rows), ROWS):
-                part = rows[k:k + ROWS]
-                for i, ids in zip(part, self.merge_matrix([pieces[i] for i in part], width), strict=True):
-                    out[i] = ids
-        return out
-
-    def merge_matrix(self, pieces: Sequence[bytes], width: int) -> list[np.ndarray]:
+                part = np.array(rows[k:k + ROWS])
+                for row, n, got in self.merge_matrix([pieces[i] for i in part], width):
+                    size[part[row]] = n
+                    done.append((part[row], got))
+        start = np.cumsum(size) - size
+        out = np.empty(int(size.sum()), np.int32)
+        for row, got in done:
+            out[_ranges(start[row], size[row])] = got
+        return out, size
+
+    def merge_matrix(self, pieces: Sequence[bytes], width: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """Rows of at most ``width`` bytes, padded with -1; each round every live row merges
-        its leftmost pair of least rank and the matrix loses one column."""
-        flat = np.frombuffer(b"".join(p.ljust(width, b"\0") for p in pieces), np.uint8)
-        ids = self.byte_ids[flat].reshape(len(pieces), width)
+        its leftmost pair of least rank and the matrix loses one column. Gives the rows that
+        have nothing left to merge, their sizes, and their ids end to end."""
         size = np.array([len(p) for p in pieces])
-        ids[np.arange(width) >= size[:, None]] = -1
-        out: list[np.ndarray | None] = [None] * len(pieces)
+        ids = np.full((len(pieces), width), -1, np.int32)
+        ids[np.arange(width) < size[:, None]] = self.byte_ids[np.frombuffer(b"".join(pieces), np.uint8)]
         row = np.arange(len(pieces))
         pair = np.full((len(pieces), width - 1), NONE, np.int32)
         both = ids[:, 1:] >= 0
         pair[both] = self.rank(ids[:, :-1][both], ids[:, 1:][both])
         while row.size:
-            at = pair.argmin(axis=1) if pair.shape[1] else np.zeros(row.size, np.int64)
-            least = pair[np.arange(row.size), at] if pair.shape[1] else np.full(row.size, NONE)
+            if not pair.shape[1]:
+                yield row, size, ids[:, 0]
+                return
+            at = pair.argmin(axis=1)
+            least = pair[np.arange(row.size), at]
             live = least != NONE
             if not live.all():
-                for r in np.flatnonzero(~live):
-                    out[row[r]] = ids[r, :size[r]].copy()
-                ids, pair, row, size = ids[live], pair[live], row[live], size[live]
-                at, least = at[live], least[live]
+                end = ~live
+                rest = ids[end]
+                yield row[end], size[end], rest[np.arange(rest.shape[1]) < size[end][:, None]]
+                ids, pair, row, size, at, least = ids[live], pair[live], row[live], size[live], at[live], least[live]
                 if not row.size:
-                    break
+                    return
             n, k = np.arange(row.size), ids.shape[1] - 1
             ids[n, at] = least
             stay = np.ones(ids.shape, bool)
@@ -141,7 +128,6 @@ class Merges:
             for left in (at - 1, at):
                 ok = np.flatnonzero((left >= 0) & (left + 1 < size))
                 pair[ok, left[ok]] = self.rank(ids[ok, left[ok]], ids[ok, left[ok] + 1])
-        return out
 
     def merge_long(self, piece: bytes) -> np.ndarray:
         """The same merges for one long piece in n log n steps: a heap of (rank, position)
@@ -182,9 +168,7 @@ class Merges:
     def decode_flat(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Bytes of all ids one after another, and where each id's bytes end."""
         size = self.size[ids]
-        ends = np.cumsum(size)
-        at = np.repeat(self.start[ids] - (ends - size), size) + np.arange(ends[-1] if ends.size else 0)
-        return self.bytes[at], ends
+        return self.bytes[_ranges(self.start[ids], size)], np.cumsum(size)
 
 
 def _ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -215,11 +199,10 @@ class Encoder:
         if len(self.index) + len(new) > CACHE and self.index:
             self.forget()
             new = list(pieces)
-        ids = self.merges.encode_pieces([p.encode("utf-8", "replace") for p in new])
-        size = np.array([x.size for x in ids], np.int64)
+        ids, size = self.merges.encode_pieces([p.encode("utf-8", "replace") for p in new])
         start = self.flat.size + np.cumsum(size) - size
         self.index.update(zip(new, range(len(self.index), len(self.index) + len(new)), strict=True))
-        self.flat = np.concatenate([self.flat, *ids])
+        self.flat = np.concatenate([self.flat, ids])
         self.start, self.size = np.concatenate([self.start, start]), np.concatenate([self.size, size])
 
     def encode(self, texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
