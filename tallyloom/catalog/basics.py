@@ -7,15 +7,25 @@ import tempfile
 from pyspark.sql import functions as F
 
 from ..operators import profile as P
-from ..plans.ranges import null_safe_join  # noqa: F401
 from ..sources import tables as S
 from .registry import messy, messy_sql, query, table
 
 
-@query("s01_read_inventory", """SELECT CAST(doc_id AS VARCHAR) AS doc_id, lang, source,
-  CAST(n_chars AS VARCHAR) AS n_chars FROM documents""")
+_ALL_TEXT = """SELECT CAST(doc_id AS VARCHAR) AS doc_id, text, lang, source,
+  CAST(n_chars AS VARCHAR) AS n_chars FROM documents"""
+
+
+@query("s01_read_inventory", _ALL_TEXT)
 def s01(spark, sf):
-    return S.read_inventory(spark, f"{sf}/documents.parquet", ["doc_id", "lang", "source", "n_chars"])
+    return S.read_inventory(spark, f"{sf}/documents.parquet")
+
+
+@query("s01_read_inventory_csv", _ALL_TEXT)
+def s01_csv(spark, sf):
+    """All columns written as CSV and read back by the header, in another order."""
+    out = _scratch(spark, "inventory")
+    S.write_table(table(spark, sf, "documents"), out, "csv")
+    return S.read_inventory(spark, out, ["n_chars", "text", "source", "doc_id", "lang"], fmt="csv")
 
 
 def _scratch(spark, name: str) -> str:

@@ -55,13 +55,13 @@ def fitted(spark, sf, which: str):
         scored = narratives(spark, sf).select("doc_id", scoring.complexity_score(
             F.col("doc_id") % 40, F.col("text"), lookup(F.col("lang"), AREA_BY_LANG)).alias("score"))
         rows = _topic_features(M.above_median(scored, "score"), F.col("doc_id") % 40)
-        _MODELS[at] = M.fit_numeric_classifier(rows, TOPIC_COLS, "label", 30)
+        _MODELS[at] = M.fit_numeric_classifier(rows, TOPIC_COLS, "label")
         return _MODELS[at]
     src = _texts(spark, sf).filter("impact_class IS NOT NULL")
     src = src.withColumn("quality", F.col("impact").isin("Both", "Rights-impacting").cast("int"))
     train = E.stratified_split(src, "impact_class", "doc_id").filter(~F.col("is_test"))
     label, binary = ("impact_class", False) if which == "impact" else ("quality", True)
-    _MODELS[at] = M.fit_text_classifier(train, "row_text", label, binary=binary, max_iter=30)
+    _MODELS[at] = M.fit_text_classifier(train, "row_text", label, binary=binary)
     return _MODELS[at]
 
 
@@ -105,7 +105,7 @@ def m05a(spark, sf):
 @query("m05_complexity_classifier")
 def m05(spark, sf):
     src = _lines(spark, sf)
-    model = M.fit_numeric_classifier(src, LINE_FEATURES, "label", 30)
+    model = M.fit_numeric_classifier(src, LINE_FEATURES, "label")
     p = M.predict(model, src, None, "complexity")
     return E.confusion_matrix(p, "label", "complexity_class", [0, 1])
 

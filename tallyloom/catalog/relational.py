@@ -32,12 +32,13 @@ def j02(spark, sf):
     return J.label_lookup(table(spark, sf, "customer").select("c_custkey", "c_nationkey"), names, "c_nationkey", "n_name")
 
 
-@query("j03_consolidate_by_id", f"""SELECT d.doc_id, d.source, round(g.gamma[1], 6) AS lda_t0,
-  round(g.gamma[2], 6) AS lda_t1 FROM documents d LEFT JOIN {GAMMA_SQL} g ON d.doc_id = g.vec_id""")
+@query("j03_consolidate_by_id", "SELECT d.doc_id, d.source, " + ", ".join(
+    f"round(g.gamma[{i + 1}], 6) AS lda_t{i}" for i in range(64))
+    + f" FROM documents d LEFT JOIN {GAMMA_SQL} g ON d.doc_id = g.vec_id")
 def j03(spark, sf):
     probs = W.one_hot(gamma(spark, sf).select(
-        F.col("vec_id").alias("doc_id"), F.round(F.get("gamma", F.lit(0)), 6).alias("lda_t0"),
-        F.round(F.get("gamma", F.lit(1)), 6).alias("lda_t1"), "label"), "label", [0, 1], "lda_dom_t", "_").drop("label")
+        F.col("vec_id").alias("doc_id"), *[F.round(F.get("gamma", F.lit(i)), 6).alias(f"lda_t{i}") for i in range(64)],
+        "label"), "label", [0, 1], "lda_dom_t", "_").drop("label")
     return J.consolidate(table(spark, sf, "documents").select("doc_id", "source"), probs, "doc_id")
 
 
@@ -389,11 +390,11 @@ def w08(spark, sf):
 
 
 @query("w09_spread_probs", f"""SELECT g.vec_id, topic, """ + ", ".join(
-    f"CASE WHEN topic >= 0 THEN round(gamma[{i + 1}], 8) ELSE 0.0 END AS lda_t{i}" for i in range(8))
+    f"CASE WHEN topic >= 0 THEN round(gamma[{i + 1}], 8) ELSE 0.0 END AS lda_t{i}" for i in range(64))
     + f" FROM {GAMMA_SQL} g JOIN {NOISE_SQL} n ON g.vec_id = n.vec_id")
 def w09(spark, sf):
     g = gamma(spark, sf).withColumn("topic", F.when(F.col("vec_id") % 7 == 0, -1).otherwise(F.col("label")))
-    return rounded(W.spread_probs(g.drop("label"), "gamma", 8, topic="topic"), 8, *[f"lda_t{i}" for i in range(8)])
+    return rounded(W.spread_probs(g.drop("label"), "gamma", 64, topic="topic"), 8, *[f"lda_t{i}" for i in range(64)])
 
 
 @query("w10_dominant", f"""SELECT vec_id, CAST(list_position(gamma, list_max(gamma)) - 1 AS INTEGER) AS topic,

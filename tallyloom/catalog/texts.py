@@ -190,11 +190,11 @@ _VOCAB = f"""(SELECT term, count(*) AS df, sum(tf) AS cf FROM {_TERMS} GROUP BY
   AND count(*) <= 0.9 * (SELECT count(*) FROM documents))"""
 
 
-@query("x13_vocabulary", f"SELECT term, df, CAST(cf AS BIGINT) AS cf FROM {_VOCAB} ORDER BY df DESC, term LIMIT 2000")
+@query("x13_vocabulary", f"SELECT term, df, CAST(cf AS BIGINT) AS cf FROM {_VOCAB} ORDER BY df DESC, term LIMIT 50000")
 def x13(spark, sf):
     d = narratives(spark, sf)
     terms = TF.term_counts(d, ["doc_id"], X.word_tokens(F.col("text")))
-    return TF.vocabulary(terms, d.agg(F.count(F.lit(1))).scalar(), 5, 0.9, keep_n=2000)
+    return TF.vocabulary(terms, d.agg(F.count(F.lit(1))).scalar(), 5, 0.9, keep_n=50_000)
 
 
 @query("x13_count_vectorize", f"""SELECT doc_id, count(*) AS terms, CAST(sum(tf) AS BIGINT) AS tokens, md5(string_agg(term || ':' || tf,
@@ -220,13 +220,15 @@ def bigram_tokens(c="text", stop=K.ENGLISH_STOP):
     return X.ngrams(X.word_tokens(F.col(c), stop), 1, 2)
 
 
-@query("x14_tfidf", f"""SELECT doc_id, term, round(weight, 6) AS weight, rank FROM (SELECT *, row_number() OVER (PARTITION BY doc_id
-  ORDER BY round(weight, 9) DESC, term) AS rank FROM {TFIDF_SQL}) WHERE rank <= 10""")
+@query("x14_tfidf", f"""SELECT doc_id, count(*) AS terms, md5(string_agg(term || ':' || CAST(round(weight * 100000) AS BIGINT),
+  ' ' ORDER BY term)) AS digest FROM {TFIDF_SQL} GROUP BY 1""")
 def x14(spark, sf):
     d = narratives(spark, sf).select("doc_id", X.word_tokens(F.col("text"), K.ENGLISH_STOP).alias("t"))
     w = TF.tfidf(d, "doc_id", X.ngrams(F.col("t"), 1, 2), 5, 0.9)
-    top = W.top_k_per_group(w, ["doc_id"], [F.desc(F.round("weight", 9)), F.asc("term")], 10)
-    return rounded(top, 6, "weight")
+    pair = F.concat(F.col("term"), F.lit(":"), F.round(F.col("weight") * 100000).cast("long").cast("string"))
+    return w.groupBy("doc_id").agg(
+        F.count(F.lit(1)).alias("terms"), F.collect_list(F.struct("term", pair.alias("p"))).alias("l")).select(
+        "doc_id", "terms", F.md5(F.array_join(F.transform(F.sort_array("l"), lambda s: s["p"]), " ")).alias("digest"))
 
 
 @query("x15_lowest_idf_terms", f"""SELECT term, df, round(ln(((SELECT count(*) FROM documents) + 1) / (df + 1)) + 1, 8) AS idf

@@ -16,7 +16,7 @@ from ..sources import tables as S
 from .basics import _scratch
 from .registry import gamma, narratives, query, table
 
-TOPICS = 8
+TOPICS = 40
 _FITTED: dict = {}
 
 
@@ -28,7 +28,7 @@ def fitted(spark, sf):
         d = narratives(spark, sf).select("doc_id", "source", "text")
         d = d.withColumn("tokens", X.simple_tokens(F.col("text"), stop))
         cv, bow = L.bag_of_words(d, "doc_id", "tokens", 5, 0.9)
-        _FITTED[at] = (cv, bow, L.fit_lda(bow, "doc_id", TOPICS, passes=4))
+        _FITTED[at] = (cv, bow, L.fit_lda(bow, "doc_id", TOPICS, passes=6))
     return _FITTED[at]
 
 

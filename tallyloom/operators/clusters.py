@@ -92,11 +92,11 @@ def neighbours(points: DataFrame, eps: float, pivots: int | None = None, cell_ro
     return guest.join(live, ["cell", "part"]).filter(close).select("src", "dst", "weight")
 
 
-def connected_components(edges: DataFrame, nodes: DataFrame, max_rounds: int = 60) -> DataFrame:
+def connected_components(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     """(id, component): smallest id reachable. Neighbour minimum plus pointer jumping, so
     rounds grow with the logarithm of the path length; each round is checkpointed."""
     labels = cut_lineage(nodes.select("id", F.col("id").alias("component")))
-    for _ in range(max_rounds):
+    while True:
         low = edges.join(labels.withColumnRenamed("id", "src"), "src").groupBy("dst").agg(
             F.min("component").alias("low"))
         step = labels.join(low.withColumnRenamed("dst", "id"), "id", "left").select(
@@ -106,7 +106,6 @@ def connected_components(edges: DataFrame, nodes: DataFrame, max_rounds: int = 6
         labels = new.select("id", "component")
         if not new.filter(F.col("component") != F.col("old")).limit(1).count():
             return labels
-    raise RuntimeError("components did not settle; raise max_rounds")
 
 
 def density_topics(df: DataFrame, key: str, vec: str, eps: float = 0.3, min_samples: int = 5,

@@ -5,20 +5,25 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml.clustering import LDA, LDAModel
-from pyspark.ml.feature import PCA, CountVectorizer, CountVectorizerModel, StandardScaler
+from pyspark.ml.feature import PCA, CountVectorizerModel, StandardScaler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import vectors as V
 from . import coherence as C
+from .textfeatures import term_counts, vocabulary
 from .windows import one_hot, spread_probs
 
 
 def bag_of_words(df: DataFrame, key: str, tokens: str, min_df: float = 5, max_df: float = 0.9,
                  keep_n: int = 50_000) -> tuple[CountVectorizerModel, DataFrame]:
-    """Vocabulary (at most keep_n terms on the driver) and (key, tokens, features)."""
-    cv = CountVectorizer(inputCol=tokens, outputCol="features", vocabSize=keep_n, **df_limits(min_df, max_df)).fit(df)
+    """Vocabulary (the keep_n terms of highest document frequency, on the driver) and
+    (key, tokens, features)."""
+    terms = term_counts(df.select(key, tokens), [key], F.col(tokens))
+    vocab = vocabulary(terms, df.agg(F.count(F.lit(1))).scalar(), min_df, max_df, keep_n)
+    kept = [r.term for r in vocab.select("term", "df").orderBy(F.desc("df"), "term").collect()]
+    cv = CountVectorizerModel.from_vocabulary(kept, inputCol=tokens, outputCol="features")
     return cv, cv.transform(df)
 
 

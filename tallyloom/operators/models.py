@@ -33,10 +33,10 @@ def fold_text(df: DataFrame, text: str) -> DataFrame:
 
 
 def fit_text_classifier(df: DataFrame, text: str, label: str, binary: bool = False, min_df: float = 3,
-                        max_df: float = 0.9, vocab_size: int = 1 << 20, max_iter: int = 100) -> PipelineModel:
+                        max_df: float = 0.9, max_iter: int = 1000) -> PipelineModel:
     """M3, M4: words and bigrams, smoothed idf + 1, unit rows, balanced logistic regression
-    with unit penalty. The vocabulary and the coefficients live on the driver, as they
-    must in any linear text model; ``vocab_size`` bounds them."""
+    with unit penalty. Every term inside the document-frequency limits is kept; vocabulary
+    and coefficients live on the driver, as they must in any linear text model."""
     # Rows are dealt out evenly: a hot text or label must not make a hot training task.
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     src = fold_text(df.filter(F.col(label).isNotNull()).select(label, text), text).select(label, "_folded")
@@ -46,7 +46,7 @@ def fit_text_classifier(df: DataFrame, text: str, label: str, binary: bool = Fal
         NGram(n=2, inputCol="_uni", outputCol="_bi"),
         SQLTransformer(statement="SELECT *, concat(_uni, _bi) AS _terms FROM __THIS__"),
     ]
-    cv = CountVectorizer(inputCol="_terms", outputCol="_tf", vocabSize=vocab_size, **df_limits(min_df, max_df))
+    cv = CountVectorizer(inputCol="_terms", outputCol="_tf", vocabSize=2**31 - 1, **df_limits(min_df, max_df))
     head = Pipeline(stages=stages + [cv]).fit(src)
     counted = head.transform(src).select(label, "class_weight", "_tf").persist()
     try:
@@ -85,7 +85,7 @@ def numeric_features(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.withColumns({c: F.coalesce(F.col(c).try_cast("double"), F.lit(0.0)) for c in columns})
 
 
-def fit_numeric_classifier(df: DataFrame, columns: Sequence[str], label: str, max_iter: int = 100) -> PipelineModel:
+def fit_numeric_classifier(df: DataFrame, columns: Sequence[str], label: str, max_iter: int = 1000) -> PipelineModel:
     """M5: scaled without centring, plain logistic regression."""
     src = df.select(*columns, label).persist()
     try:

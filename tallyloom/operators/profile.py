@@ -101,7 +101,3 @@ def describe(df: DataFrame, value: str, probs=((0.25, "p25"), (0.5, "p50"), (0.7
 
 def rounded(df: DataFrame, digits: int, *cols: str) -> DataFrame:
     return df.withColumns({c: F.round(F.col(c), digits) for c in cols})
-
-
-def percent(part: Column, whole: Column) -> Column:
-    return F.try_divide(part * 100.0, whole)

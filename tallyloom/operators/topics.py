@@ -11,6 +11,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from ..functions import vectors as V
 from ..functions.cleaning import lookup, nice_title
@@ -26,7 +27,7 @@ from .windows import top_k_per_group
 # --- class-based TF-IDF --------------------------------------------------------
 def class_terms(df: DataFrame, topic: str, tokens: Column, min_df: int = 1) -> DataFrame:
     """(topic, term, tf) summed on the map side; terms in fewer than min_df topics dropped."""
-    words = df.filter(F.col(topic) >= 0) if dict(df.dtypes)[topic] in ("int", "bigint") else df
+    words = df.filter(F.col(topic) >= 0) if isinstance(df.schema[topic].dataType, NumericType) else df
     tf = words.select(topic, F.explode(tokens).alias("term")).groupBy(topic, "term").agg(
         F.count(F.lit(1)).alias("tf"))
     if min_df > 1:

@@ -54,3 +54,21 @@ def test_rename(spark):
     assert out.columns == ["agency", "if_other_please_explain1", "Keep"]
     assert S.find_column(df, r"other") == "If Other, please explain..1"
     assert S.find_column(df, "zzz") is None
+
+
+def test_csv_is_read_by_its_header(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('b,a,"x y"\n1,"two\nlines",3\n4,"say ""hi""",\n')
+    df = S.read_inventory(spark, str(tmp_path / "a.csv"), ["a", "b"])
+    assert df.columns == ["a", "b"]
+    assert sorted(map(tuple, df.collect())) == [('say "hi"', "4"), ("two\nlines", "1")]
+    assert S.read_inventory(spark, str(tmp_path / "a.csv")).columns == ["b", "a", "x y"]
+    with pytest.raises(ValueError, match="not found"):
+        S.read_inventory(spark, str(tmp_path / "a.csv"), ["a", "absent"])
+    typed = S.read_csv(spark, str(tmp_path / "a.csv"), "a string, b int")
+    assert sorted(r.b for r in typed.collect()) == [1, 4]
+    folder = tmp_path / "mixed"
+    folder.mkdir()
+    (folder / "1.csv").write_text("a,b\n1,2\n")
+    (folder / "2.csv").write_text("b,a\n3,4\n")
+    with pytest.raises(Exception):
+        S.read_inventory(spark, str(folder), ["a", "b"], fmt="csv").collect()

@@ -192,3 +192,11 @@ def test_lda_probabilities(spark):
     assert L.log_perplexity(m, bow) < 0
     again = L.doc_topics(L.fit_lda(bow, "id", 3, passes=2), bow, "id").toPandas()
     assert np.allclose(np.vstack(a.sort_values("id").gamma), np.vstack(again.sort_values("id").gamma))
+
+
+def test_nearest_centroid_keeps_large_ids_and_zero_vectors(spark):
+    cents = spark.createDataFrame([(3_000_000_000, [1.0, 0.0]), (5, [0.0, 1.0])], "topic long, centroid array<double>")
+    df = spark.createDataFrame([(1, [2.0, 0.1]), (2, [0.0, 0.0])], "id long, v array<double>")
+    for k in (1, 4096):
+        got = {r.id: r.best for r in O.nearest_centroid(df, "id", "v", cents, "topic", driver_topics=k).collect()}
+        assert got == {1: 3_000_000_000, 2: 5}
