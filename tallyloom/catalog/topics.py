@@ -383,15 +383,16 @@ _GRAMS = f"list_concat({ngrams_sql('t', 2)}, {ngrams_sql('t', 3)})"
 _TITLE = "array_to_string(list_transform(string_split(term, ' '), lambda w: upper(w[1]) || w[2:]), ' ')"
 
 
-@query("t30_phrase_names", f"""WITH g AS (SELECT doc_id, source, unnest({_GRAMS}) AS term FROM (SELECT doc_id, source, {words_sql(stop=True)}
-  AS t FROM documents)), d AS (SELECT source, doc_id, term, count(*) AS tf FROM g GROUP BY 1, 2, 3),
+@query("t30_phrase_names", f"""WITH g AS (SELECT doc_id, source, unnest({_GRAMS}) AS term FROM (SELECT doc_id, source,
+  list_filter({words_sql(stop=True)}, lambda w: NOT list_contains({sql_list(K.PHRASE_STOP)}, w)) AS t FROM documents)), d AS (SELECT source, doc_id, term, count(*) AS tf FROM g GROUP BY 1, 2, 3),
   s AS (SELECT source, term, sum(tf) AS cf, count(*) AS df, len(string_split(term, ' ')) AS n FROM d GROUP BY 1, 2),
   ok AS (SELECT *, max(n) OVER (PARTITION BY source) AS best FROM s JOIN (SELECT source, count(*) AS docs FROM documents GROUP BY 1)
     USING (source) WHERE df >= 2 AND df <= docs * 0.8)
   SELECT source, rank, term, {_TITLE} AS phrase, CAST(cf AS BIGINT) AS cf, df FROM (SELECT *, row_number() OVER (PARTITION BY source
   ORDER BY n DESC, cf DESC, term DESC) AS rank FROM ok WHERE n = best) WHERE rank <= 2""")
 def t30(spark, sf):
-    d = narratives(spark, sf).select("doc_id", "source", _tokens().alias("t"))
+    words = X.word_tokens(F.col("text"), [*K.ENGLISH_STOP, *K.PHRASE_STOP])
+    d = narratives(spark, sf).select("doc_id", "source", words.alias("t"))
     return T.phrase_names(d, "doc_id", "source", "t")
 
 

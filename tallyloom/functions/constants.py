@@ -26,12 +26,11 @@ TOPIC_AREAS = {
 }
 
 # --- fixed values: complexity points per topic id (0..39) --------------------
-TOPIC_COMPLEXITY = dict(enumerate([
-    3, 5, 2, 3, 3, 4, 2, 3, 3, 3,
-    3, 2, 2, 4, 5, 3, 3, 4, 3, 4,
-    3, 2, 3, 3, 2, 3, 3, 4, 2, 4,
-    3, 3, 5, 3, 4, 4, 4, 5, 4, 3,
-]))
+TOPIC_COMPLEXITY = {
+    0: 3, 1: 5, 2: 2, 3: 3, 4: 3, 5: 4, 6: 2, 7: 3, 8: 3, 9: 3, 10: 3, 11: 2, 12: 2, 13: 4, 14: 5,
+    15: 3, 16: 3, 17: 4, 18: 3, 19: 4, 20: 3, 21: 2, 22: 3, 23: 3, 24: 2, 25: 3, 26: 3, 27: 4,
+    28: 2, 29: 4, 30: 3, 31: 3, 32: 5, 33: 3, 34: 4, 35: 4, 36: 4, 37: 5, 38: 4, 39: 3,
+}
 
 # --- fixed values: complexity points per topic area ---------------------------
 AREA_COMPLEXITY = {
@@ -100,20 +99,21 @@ BOILERPLATE_PHRASES = PRECLEAN_PHRASES + [
 ]
 
 # --- fixed values: label word lists ----------------------------------------------
-LABEL_HIDE = (
-    "use case cases project projects platform platforms service services solution "
-    "solutions tool tools implementation assessment intended benefits purpose"
-).split()
-LABEL_KEEP = (
-    "data model models system systems support capability capabilities privacy security "
-    "safety risk fraud cyber inspection screening asylum border maritime aviation medical "
-    "health threat detection text imagery image video vision nlp speech biometric cargo "
-    "port foia records satellite maps geospatial legal law justice"
-).split()
-DOMAIN_STOP = (
-    "ai use case cases model models data dataset agency agencies system systems "
-    "information service services project projects u s us gov federal"
-).split()
+LABEL_HIDE = [
+    "use", "case", "cases", "project", "projects", "platform", "platforms", "service", "services", "solution",
+    "solutions", "tool", "tools", "implementation", "assessment", "intended", "benefits", "purpose",
+]
+LABEL_KEEP = [
+    "data", "model", "models", "system", "systems", "support", "capability", "capabilities", "privacy",
+    "security", "safety", "risk", "fraud", "cyber", "inspection", "screening", "asylum", "border", "maritime",
+    "aviation", "medical", "health", "threat", "detection", "text", "imagery", "image", "video", "vision",
+    "nlp", "speech", "biometric", "cargo", "port", "foia", "records", "satellite", "maps", "geospatial",
+    "legal", "law", "justice",
+]
+DOMAIN_STOP = [
+    "ai", "use", "case", "cases", "model", "models", "data", "dataset", "agency", "agencies", "system",
+    "systems", "information", "service", "services", "project", "projects", "u", "s", "us", "gov", "federal",
+]
 PHRASE_STOP = DOMAIN_STOP + ["provide", "provided", "using", "based"]
 KEEP_UPPER = ["AI", "LLM", "NLP", "FOIA", "FAA", "IRS", "VA", "ML", "UAS", "GIS", "EE", "BE"]
 
