@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import random
 from collections.abc import Iterator, Sequence
 from functools import reduce
@@ -141,6 +142,8 @@ def _spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _compare(similarity: float):
+    """Rows of tiles in order -> (key, links, hub): a hub is a component of one tile, so it
+    has at most 2 x TILE members."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tile, rows = None, {}
 
@@ -152,7 +155,8 @@ def _compare(similarity: float):
             links, label = compare_tile(tile[0], tile[1] != tile[2], np.array([r[0] for r in got]),
                                         [np.frombuffer(r[2], np.uint64) for r in got],
                                         [np.array(r[1], np.int64) for r in got], similarity)
-            return [(k, int(n), keys[c]) for k, n, c in zip(keys, links, label, strict=True) if c >= 0]
+            hub = hashlib.md5(repr(tile).encode()).digest()
+            return [(k, int(n), hub + keys[c]) for k, n, c in zip(keys, links, label, strict=True) if c >= 0]
 
         def made(out: list) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([
@@ -177,29 +181,18 @@ def _compare(similarity: float):
     return run
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """(key, component) for undirected edges (key, hub): the smallest key of its component.
-
-    Labels go to the hub and back, then jump to their own label's label; each round is a
-    table in the shared folder. Few hubs or labels may have very many rows: they are only
-    ever grouped with map-side combining or looked up by broadcast.
-    """
-    pairs = saved(edges.select("key", "hub").distinct(), "edges")
-    labels = saved(pairs.groupBy("key").agg(F.min("hub").alias("component")).select(
-        "key", F.least("key", "component").alias("component")), "labels")
+def components(members: DataFrame) -> DataFrame:
+    """(key, component): keys that share a hub, directly or through others, and the smallest
+    of them. Labels go to the hubs and back until nothing changes; each round is a table in
+    the shared folder. Hubs must be small groups, so no join meets a hot key."""
+    labels = saved(members.select("key", F.col("key").alias("component")).distinct(), "labels")
     while True:
-        at_hub = pairs.join(labels, "key").groupBy("hub").agg(
-            F.min("component").alias("low"), F.count(F.lit(1)).alias("w"))
-        low = join_hot(pairs, at_hub, ["hub"], "w").groupBy("key").agg(F.min("low").alias("low"))
-        step = saved(labels.join(low, "key").select(
-            "key", F.col("component").alias("old"), F.least("component", "low").alias("c")), "labels")
-        far = step.groupBy("c").agg(F.count(F.lit(1)).alias("w")).join(
-            step.select(F.col("key").alias("c"), F.col("c").alias("cc")), "c", "left")
-        labels = saved(join_hot(step, far, ["c"], "w").select(
-            "key", "old", F.least("c", F.coalesce("cc", "c")).alias("component")), "labels")
-        if not labels.filter("component <> old").limit(1).count():
-            return labels.select("key", "component")
-        labels = labels.select("key", "component")
+        low = members.join(labels, "key").groupBy("hub").agg(F.min("component").alias("low"))
+        new = members.join(low, "hub").groupBy("key").agg(F.min("low").alias("component"))
+        new = saved(new.join(labels.withColumnRenamed("component", "old"), "key"), "labels")
+        if not new.filter("component <> old").limit(1).count():
+            return new.select("key", "component")
+        labels = new.select("key", "component")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = 0.8,
@@ -242,19 +235,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     nodes = saved(sigs.select("key", "sig", F.explode(F.array_distinct(roots)).alias("path")).select("key", "path"), "nodes")
     leaves = []
     for depth in range(DEPTH):
-        sizes = saved(nodes.groupBy("path").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "sizes")
+        sizes = nodes.groupBy("path").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+        shared = saved(join_hot(nodes, sizes, ["path"], "n"), "shared")
         last = depth == DEPTH - 1
-        done = sizes if last else sizes.filter(F.col("n") <= SMALL)
-        leaves.append(join_hot(nodes, done, ["path"], "n"))
-        big = sizes.filter(F.col("n") > SMALL)
+        big = shared.filter(F.col("n") > SMALL)
+        leaves.append(shared if last else shared.filter(F.col("n") <= SMALL))
         if last or not big.limit(1).count():
             break
         c = lambda k: F.pmod(F.xxhash64("path", F.lit(k)), F.lit(WIDTH)).cast("int")
         child = lambda k: F.xxhash64("path", c(k), F.get("sig", c(k)))
         kids = F.when(F.pmod(F.xxhash64("path", F.lit(3)), F.lit(4)) == 0, F.array(child(1), child(2))).otherwise(F.array(child(1)))
-        nodes = saved(join_hot(nodes, big, ["path"], "n").drop("n").join(sigs, "key").select(
+        nodes = saved(big.drop("n").join(sigs, "key").select(
             "key", F.explode(F.array_distinct(kids)).alias("path")), "nodes")
-    leaf = saved(reduce(DataFrame.unionByName, leaves), "leaves")
+    leaf = reduce(DataFrame.unionByName, leaves)
 
     # --- tiles of each leaf, with the sets of those texts that have company
     blocks = F.ceil(F.col("n") / TILE)
