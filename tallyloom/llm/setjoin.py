@@ -135,7 +135,7 @@ def _spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             raw = shingle_set(b.column(1)[i].as_py()).tobytes()
             key, leaves = b.column(0)[i].as_py(), b.column(2)[i].as_py()
             tiles = b.column(3)[i].as_py()
-            step = max(1, 8_000_000 // (len(raw) + 1))
+            step = max(1, 2_000_000 // (len(raw) + 1))
             for k in range(0, len(tiles), step):
                 yield pa.RecordBatch.from_pylist(
                     [{**t, "key": key, "leaves": leaves, "set": raw} for t in tiles[k:k + step]], schema=kind)
@@ -223,7 +223,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     base = docs.select(F.col(id_col).alias("id"), normal_text(F.col(text_col)).alias("normal"))
     full = base.filter("normal <> ''").select(F.unhex(F.md5("normal")).alias("key"), "id", "normal")
     id_type = docs.schema[id_col].dataType.simpleString()
-    signed = saved(full.mapInArrow(_sets_of, f"key binary, id {id_type}, sig array<int>"), "sketches")
+    signed = saved(full.mapInArrow(_sets_of, f"key binary, id {id_type}, sig array<int>"), "sketches", 1000)
     texts = saved(signed.groupBy("key").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies")), "texts")
     sigs = signed.join(texts.select("key", "id"), (signed.key == texts.key) & signed.id.eqNullSafe(texts.id)).select(
         signed.key, "sig").dropDuplicates(["key"])
@@ -260,7 +260,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = whole.select("key", "normal", "leaves", "tiles").mapInArrow(
         _spread, "path long, a long, b long, side long, key binary, leaves array<long>, set binary")
     found = saved(rows.repartition("path", "a", "b").sortWithinPartitions("path", "a", "b").mapInArrow(
-        _compare(similarity), "key binary, links long, hub binary"), "links")
+        _compare(similarity), "key binary, links long, hub binary"), "links", 1000)
 
     # --- classes
     classes = components(found).join(found.groupBy("key").agg(F.sum("links").alias("links")), "key")

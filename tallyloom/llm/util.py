@@ -24,11 +24,25 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def saved(df: DataFrame, name: str) -> DataFrame:
-    """Writes the rows once to the shared folder and reads them back; later uses cost a scan."""
-    path = shared_folder(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def saved(df: DataFrame, name: str, arrow_rows: int | None = None) -> DataFrame:
+    """Writes the rows once to the shared folder and reads them back; later uses cost a scan.
+
+    ``arrow_rows`` bounds the rows of a batch that goes to Python while they are written:
+    texts of a few thousand characters make batches of Spark's default 10,000 rows large.
+    """
+    spark, path = df.sparkSession, shared_folder(df.sparkSession, name)
+    before = spark.conf.get(ARROW_ROWS)
+    if arrow_rows:
+        spark.conf.set(ARROW_ROWS, min(int(before), arrow_rows) if int(before) > 0 else arrow_rows)
+    try:
+        df.write.parquet(path)
+    finally:
+        if arrow_rows:
+            spark.conf.set(ARROW_ROWS, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def ascii_lower(text: Column) -> Column:
