@@ -56,7 +56,7 @@ def fit_text_classifier(df: DataFrame, text: str, label: str, binary: bool = Fal
         n = counted.count()
         lr = LogisticRegression(
             featuresCol="features", labelCol=label, weightCol="class_weight", standardization=False,
-            regParam=1.0 / max(n, 1), family="binomial" if binary else "multinomial", maxIter=max_iter)
+            regParam=1.0 / max(n, 1), family="binomial" if binary else "multinomial", maxIter=max_iter, tol=1e-4)
         model = lr.fit(unit.transform(weigh.transform(counted)))
     finally:
         counted.unpersist()
@@ -93,7 +93,7 @@ def fit_numeric_classifier(df: DataFrame, columns: Sequence[str], label: str, ma
             VectorAssembler(inputCols=list(columns), outputCol="_raw"),
             StandardScaler(inputCol="_raw", outputCol="features", withMean=False, withStd=True),
             LogisticRegression(featuresCol="features", labelCol=label, standardization=False,
-                               regParam=1.0 / max(src.count(), 1), maxIter=max_iter),
+                               regParam=1.0 / max(src.count(), 1), maxIter=max_iter, tol=1e-4),
         ]
         return Pipeline(stages=stages).fit(src)
     finally:
