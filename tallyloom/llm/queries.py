@@ -1,6 +1,6 @@
 """All queries of the subpackage; importing this registers them."""
 
 from . import (  # noqa: F401
-    bpe, decontam, lines, lm, perplexity, rules, secrets, setjoin, warc,
+    bpe, chunks, decontam, lines, lm, perplexity, rules, secrets, setjoin, warc,
 )
 from .registry import QUERIES, SQL  # noqa: F401
