@@ -13,8 +13,8 @@ from .registry import query, table
 from .util import join_hot, saved
 
 WINDOW = 16                      # bytes that decide on a cut
-LEAST, MOST = 24, 192            # bytes of a chunk
-ONE_IN = 40                      # positions at which the hash cuts
+LEAST, MOST = 16, 192            # bytes of a chunk
+ONE_IN = 16                      # positions at which the hash cuts
 BATCH = 2_000_000                # bytes hashed together
 # A fixed random number for each byte.
 GEAR = np.random.default_rng(20).integers(0, 2**32, 256, dtype=np.uint32)
@@ -103,9 +103,9 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     ``spans``, the runs of them as structs (start, end) in bytes of UTF-8, of ``least_span`` bytes or more.
 
     A chunk repeats if a smaller id holds a chunk of equal bytes; the smallest id keeps all
-    its own. Texts are cut by a gear rolling hash of 16 bytes into chunks of 24 to 192
-    bytes (64 on average), so a passage of 50 words holds several whole ones wherever
-    it stands. Chunks are counted with map-side combining; a chunk that very many documents
+    its own. Texts are cut by a gear rolling hash of 16 bytes into chunks of 16 to 192
+    bytes (32 on average). Only whole chunks are found: a passage loses a part at both
+    ends, and of a short one there may be no run of ``least_span``. Chunks are counted with map-side combining; a chunk that very many documents
     hold is looked up by broadcast; texts do not move.
 
     Null or empty texts have no chunks. A null id comes after all others and is one

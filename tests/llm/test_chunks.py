@@ -63,6 +63,20 @@ def test_cuts_are_the_definition_and_resist_shifts():
     assert len(pieces[0] - pieces[1]) <= 6
 
 
+def test_most_of_a_short_passage_is_found():
+    rng = random.Random(51)
+    words = lambda n: " ".join("".join(rng.choice("etaoinshrdlu") for _ in range(rng.randrange(2, 10))) for _ in range(n))
+    missed = found = total = 0
+    for _ in range(300):
+        p = words(51)
+        docs = [(i, f"{words(rng.randrange(5, 60))} {p} {words(20)}") for i in range(2)]
+        runs = [r for _, s in brute(docs).values() for r in s]
+        missed += not runs
+        found += sum(b - a for a, b in runs)
+        total += len(p)
+    assert missed <= 0.035 * 300 and found >= 0.72 * total
+
+
 def test_query_against_brute_force(spark):
     rows = [tuple(r) for r in spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").collect()]
     want = {d: (n, ",".join(f"{a}:{b}" for a, b in s)) for (d, _), (n, s) in brute(rows).items()}
