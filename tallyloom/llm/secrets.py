@@ -118,25 +118,54 @@ def _readable(raw: bytes) -> str | None:
     return text if text and not CONTROL.search(text) else None
 
 
+def _decoder(raw: bytes):
+    if raw[:2] == b"\x1f\x8b" or raw[:1] == b"\x78" and len(raw) > 1 and (raw[0] << 8 | raw[1]) % 31 == 0:
+        return zlib.decompressobj(47)
+    if raw[:3] == b"BZh":
+        return bz2.BZ2Decompressor()
+    if raw[:6] == b"\xfd7zXZ\0":
+        return lzma.LZMADecompressor(memlimit=1 << 28)
+    return None
+
+
 def _unpack(raw: bytes, most: int) -> bytes | None:
-    """What a gzip, zlib, bzip2 or xz stream holds; None if it is none; raises beyond ``most`` bytes."""
-    try:
-        if raw[:2] == b"\x1f\x8b" or raw[:1] == b"\x78" and len(raw) > 1 and (raw[0] << 8 | raw[1]) % 31 == 0:
-            z = zlib.decompressobj(47)
-            out = z.decompress(raw, most)
-        elif raw[:3] == b"BZh":
-            z = bz2.BZ2Decompressor()
-            out = z.decompress(raw, most)
-        elif raw[:6] == b"\xfd7zXZ\0":
-            z = lzma.LZMADecompressor(memlimit=1 << 28)
-            out = z.decompress(raw, most)
-        else:
-            return None
-        if not z.eof and len(out) >= most:
+    """What gzip, zlib, bzip2 or xz streams hold, one member after another up to the first bytes
+    that are none; None if the first is none; raises beyond ``most`` bytes."""
+    parts, size = [], 0
+    while (z := _decoder(raw)) is not None:
+        try:
+            # One byte beyond shows that there is more.
+            out = z.decompress(raw, most - size + 1)
+        except (zlib.error, OSError, lzma.LZMAError, EOFError):
+            break
+        size += len(out)
+        if size > most:
             raise OverflowError
-        return out if z.eof else None
-    except (zlib.error, OSError, lzma.LZMAError, EOFError):
+        if not z.eof:
+            break
+        parts.append(out)
+        raw = z.unused_data.lstrip(b"\0")  # members may be padded
+    return b"".join(parts) if parts else None
+
+
+def _wide(raw: bytes) -> str | None:
+    """UTF-16 text by its mark or, without one, by the NULs that stand in most of its high or low bytes."""
+    if len(raw) < 4:
         return None
+    head = raw[:4096]
+    even, odd = head[::2].count(0) / len(head[::2]), head[1::2].count(0) / len(head[1::2])
+    if raw[:2] == b"\xff\xfe" or odd > 0.6 and even < 0.2:
+        return raw.decode("utf-16-le", "replace").removeprefix("\ufeff")
+    if raw[:2] == b"\xfe\xff" or even > 0.6 and odd < 0.2:
+        return raw.decode("utf-16-be", "replace").removeprefix("\ufeff")
+    return None
+
+
+def _mostly_text(raw: bytes) -> str | None:
+    """Bytes of which at least half are those of text; others are replaced."""
+    text = raw.decode("utf-8", "replace")
+    bad = text.count("\ufffd") + len(CONTROL.findall(text))
+    return text if text and bad * 2 <= len(text) else None
 
 
 def _base64(layer: Layer, most: int) -> Iterator[Layer]:
@@ -154,14 +183,17 @@ def _base64(layer: Layer, most: int) -> Iterator[Layer]:
             hi = np.array([m.start() + min(-(-b * 8 // 6), len(run)) for _, _, b in spans], np.int64)
             yield layer.child(text, lo, hi, via)
             continue
-        while raw is not None:  # compressed, perhaps more than once
-            raw = _unpack(raw, most)
-            if raw is not None:
-                via += ">compressed"
-                text = _readable(raw)
-                if text is not None:
-                    yield layer.child(text, np.full(len(text), m.start()), np.full(len(text), m.end()), via)
-                    break
+        whole = lambda t, v: layer.child(t, np.full(len(t), m.start()), np.full(len(t), m.end()), v)
+        inner = _unpack(raw, most)
+        if inner is None:
+            text = _wide(raw) or _mostly_text(raw)
+            if text:
+                yield whole(text, via)
+        while inner is not None:  # perhaps compressed more than once
+            via += ">compressed"
+            last, inner = inner, _unpack(inner, most)
+            if inner is None and last:
+                yield whole(_wide(last) or last.decode("utf-8", "replace"), via)
 
 
 def scan_text(text: str, most: int = MOST_CHARS) -> tuple[list[tuple[str, int, int, int, str]], bool]:
@@ -212,7 +244,9 @@ def scan(docs: DataFrame, text_col: str = "text", most: int = MOST_CHARS) -> Dat
     stands) and how that layer was reached. A layer is the text with all URL or all Unicode
     escapes replaced, or what a base64 run holds, directly or compressed; layers are
     unwrapped again until nothing new appears. Spans in a layer are carried back to the
-    characters they were made from; in a compressed layer that is its whole run.
+    characters they were made from; in a layer that was compressed, is UTF-16 or has invalid bytes
+    replaced that is its whole run. Everything that decompresses is scanned, all members of it; bytes
+    that base64 holds directly are scanned if at least half are text.
 
     ``unwrapped`` is false only if a document decodes to more than ``most`` characters in all
     (a decompression bomb): layers found before that count, and all matches in the text

@@ -2,6 +2,7 @@ import base64
 import bz2
 import gzip
 import hashlib
+import lzma
 import re
 import urllib.parse
 import zlib
@@ -57,6 +58,22 @@ def test_layers_and_their_spans():
     assert any(k == "access" for k, *_ in spans(deep))
 
 
+def test_payloads_that_are_not_clean_utf8():
+    inner = b"password = hunter2hunter2"
+    b64 = lambda raw: base64.b64encode(raw).decode()
+    for raw in (gzip.compress(b"\x1b[31mred\x1b[0m " + inner), gzip.compress("é ".encode("latin-1") + inner),
+                gzip.compress(b"\x00\xff\xfe\x01\x80" * 40 + inner), zlib.compress(inner.decode().encode("utf-16")),
+                gzip.compress(b"nothing here") + gzip.compress(inner), bz2.compress(b"nothing") + bz2.compress(inner),
+                lzma.compress(b"nothing") + lzma.compress(inner), gzip.compress(gzip.compress(b"a") + gzip.compress(inner))):
+        run = b64(raw)
+        assert ("assign", 2, 2 + len(run.rstrip("="))) in [(k, a, min(b, 2 + len(run.rstrip("=")))) for k, a, b, _ in spans(f"x {run}")]
+    for raw in (inner.decode().encode("utf-16"), inner.decode().encode("utf-16-le"), inner.decode().encode("utf-16-be"),
+                "größe=1; ".encode("latin-1") + inner, b"log \x1b[31m" + inner,
+                "é".encode("latin-1") + inner, b"\xfe\xed\xfe\xed\x00\x00\x00\x02\x80\x91" + inner):
+        assert any(k == "assign" and v == "base64" for k, _, _, v in spans(f"x {b64(raw)}")), raw
+    assert not scan_text("x " + b64(gzip.compress(b"a" * 600) + gzip.compress(b"b" * 600)), most=1000)[1]
+
+
 def test_cycles_and_bombs_end():
     assert spans("%25" * 50) == []
     nest = "secret=abcdefgh"
