@@ -17,6 +17,7 @@ from .basics import _scratch
 from .registry import gamma, narratives, query, table
 
 TOPICS = 40
+K_GRID = [15, 20, 25, 30, 35, 40]
 _FITTED: dict = {}
 
 
@@ -34,7 +35,7 @@ def fitted(spark, sf):
 
 @query("t01_embed_documents")
 def t01(spark, sf):
-    e = CL.embed_documents(narratives(spark, sf).select("doc_id", "text"), features=256, dims=16)
+    e = CL.embed_documents(narratives(spark, sf).select("doc_id", "text"))
     return e.select("doc_id", F.posexplode("embedding").alias("pos", "value"))
 
 
@@ -57,7 +58,7 @@ def t02(spark, sf):
 
 @query("t13_k_sweep")
 def t13(spark, sf):
-    return CL.k_sweep(table(spark, sf, "embeddings").select("vec_id", "embedding"), "embedding", [5, 10])
+    return CL.k_sweep(table(spark, sf, "embeddings").select("vec_id", "embedding"), "embedding", K_GRID)
 
 
 @query("t17_fit_lda")
@@ -84,7 +85,7 @@ def t19(spark, sf):
 @query("t20_lda_grid")
 def t20(spark, sf):
     cv, bow, _ = fitted(spark, sf)
-    return L.lda_grid(bow, "doc_id", "tokens", cv.vocabulary, [4, 8], passes=2, topn=10)
+    return L.lda_grid(bow, "doc_id", "tokens", cv.vocabulary, K_GRID)
 
 
 @query("t24_log_perplexity")
