@@ -1,11 +1,9 @@
-"""Embedding and density clustering."""
+"""Embedding and the sweep over numbers of topics."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.ml import Pipeline
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import IDF, PCA, HashingTF, Normalizer, RegexTokenizer, StopWordsRemover
@@ -14,9 +12,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import constants as K
-from ..functions import vectors as V
-from ..plans.skew import lookup_by_weight
-from ..session import cut_lineage
 from . import topics as T
 
 
@@ -42,98 +37,6 @@ def embed_documents(df: DataFrame, text: str = "text", features: int = 512, dims
         "_tok", "_kept", "_tf", "_idf", "_pca", "embedding_vector")
 
 
-# --- density clusters ------------------------------------------------------------
-def collapse_copies(df: DataFrame, key: str, vec: str) -> tuple[DataFrame, DataFrame]:
-    """Unit vectors with equal ones merged: (rep, v, weight) and (key, rep). Copies, however
-    many, are one point from here on."""
-    unit = df.select(key, F.transform(vec, lambda x: x.cast("double") / V.norm(F.col(vec))).alias("v"))
-    dig = unit.withColumn("_d", F.md5(F.concat_ws(",", F.transform("v", lambda x: x.cast("string")))))
-    points = dig.groupBy("_d").agg(F.min(key).alias("rep"), F.first("v").alias("v"), F.count(F.lit(1)).alias("weight"))
-    members = lookup_by_weight(dig.select(key, "_d"), points.select("_d", "rep", "weight"), ["_d"], "weight")
-    return points.select("rep", "v", "weight"), members.select(key, "rep")
-
-
-def neighbours(points: DataFrame, eps: float, pivots: int | None = None, cell_rows: int = 20_000) -> DataFrame:
-    """(src, dst, weight): all pairs with cosine >= 1 - eps, both directions, self included.
-
-    Exact. Every point lives in the cell of its nearest pivot and is also sent to each
-    cell that can hold a neighbour: with r the chord length for eps, a neighbour in cell
-    j forces d(x, pivot_j) <= d(x, nearest) + 2 r. Cells above ``cell_rows`` residents are
-    split; visitors go to every split.
-    """
-    if not pivots:
-        # More points, more and smaller cells; the answer does not depend on it.
-        pivots = max(16, min(4096, int(points.count() ** 0.5)))
-    picked = points.select("rep", "v").orderBy(F.xxhash64("rep"), "rep").limit(pivots).collect()
-    mat = np.array([r["v"] for r in picked], dtype=np.float64)
-    reach = 2 * np.sqrt(2 * eps) + 1e-9
-    shared = points.sparkSession.sparkContext.broadcast(mat)
-
-    @F.pandas_udf("home int, cells array<int>")
-    def place(v: pd.Series) -> pd.DataFrame:
-        x = np.vstack(v.to_numpy())
-        d = np.sqrt(np.maximum(2 - 2 * x @ shared.value.T, 0))
-        home = d.argmin(axis=1)
-        near = d <= d[np.arange(len(d)), home][:, None] + reach
-        return pd.DataFrame({"home": home.astype(np.int32), "cells": [np.flatnonzero(r).astype(np.int32) for r in near]})
-
-    placed = points.select("rep", "v", "weight", place("v").alias("_p"))
-    placed = cut_lineage(placed.select("rep", "v", "weight", F.col("_p.home").alias("home"), F.col("_p.cells").alias("cells")))
-    # At most ``pivots`` rows, whatever the data.
-    splits = placed.groupBy("home").agg(F.ceil(F.count(F.lit(1)) / cell_rows).cast("int").alias("k"))
-    live = placed.join(F.broadcast(splits), "home").select(
-        F.col("home").alias("cell"), F.pmod(F.xxhash64("rep"), F.col("k")).cast("int").alias("part"),
-        F.col("rep").alias("dst"), F.col("v").alias("dv"))
-    guest = placed.select("rep", "v", "weight", F.explode("cells").alias("cell")).join(
-        F.broadcast(splits.withColumnRenamed("home", "cell")), "cell").select(
-        "cell", F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("part"),
-        F.col("rep").alias("src"), F.col("v").alias("sv"), "weight")
-    close = V.dot(F.col("sv"), F.col("dv")) >= F.lit(1 - eps)
-    return guest.join(live, ["cell", "part"]).filter(close).select("src", "dst", "weight")
-
-
-def connected_components(edges: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(id, component): smallest id reachable. Neighbour minimum plus pointer jumping, so
-    rounds grow with the logarithm of the path length; each round is checkpointed."""
-    labels = cut_lineage(nodes.select("id", F.col("id").alias("component")))
-    while True:
-        low = edges.join(labels.withColumnRenamed("id", "src"), "src").groupBy("dst").agg(
-            F.min("component").alias("low"))
-        step = labels.join(low.withColumnRenamed("dst", "id"), "id", "left").select(
-            "id", F.col("component").alias("old"), F.least("component", F.coalesce("low", "component")).alias("c"))
-        jump = step.join(labels.select(F.col("id").alias("c"), F.col("component").alias("cc")), "c", "left")
-        new = cut_lineage(jump.select("id", "old", F.least("c", F.coalesce("cc", "c")).alias("component")))
-        labels = new.select("id", "component")
-        if not new.filter(F.col("component") != F.col("old")).limit(1).count():
-            return labels
-
-
-def density_topics(df: DataFrame, key: str, vec: str, eps: float = 0.3, min_samples: int = 5,
-                   min_cluster: int = 15, pivots: int | None = None, cell_rows: int = 20_000) -> DataFrame:
-    """(key, topic). Rows with at least min_samples neighbours (themselves included)
-    within eps are core; linked cores form a topic, other rows join the topic of a core
-    neighbour (smallest id), topics below min_cluster rows and lone rows are -1. A topic
-    is named by its smallest core row id."""
-    points, members = collapse_copies(df, key, vec)
-    points = cut_lineage(points)
-    edges = cut_lineage(neighbours(points, eps, pivots, cell_rows))
-    core = edges.groupBy("dst").agg(F.sum("weight").alias("deg")).filter(F.col("deg") >= min_samples).select(
-        F.col("dst").alias("id"))
-    core = cut_lineage(core)
-    from_core = edges.join(core.withColumnRenamed("id", "src"), "src", "left_semi").select("src", "dst")
-    links = cut_lineage(from_core.join(core.withColumnRenamed("id", "dst"), "dst", "left_semi").filter("src <> dst"))
-    comp = connected_components(links, core)
-    # A core row's smallest neighbouring component is its own; a border row gets one here.
-    label = from_core.join(comp.withColumnRenamed("id", "src"), "src").groupBy(F.col("dst").alias("rep")).agg(
-        F.min("component").alias("topic"))
-    sizes = points.join(label, "rep").groupBy("topic").agg(F.sum("weight").alias("n"))
-    named = lookup_by_weight(label, sizes, ["topic"], "n").select(
-        "rep", F.when(F.col("n") >= min_cluster, F.col("topic")).otherwise(-1).alias("topic"))
-    lab = points.select("rep", "weight").join(named, "rep", "left").select(
-        "rep", "weight", F.coalesce("topic", F.lit(-1)).alias("topic"))
-    return lookup_by_weight(members, lab, ["rep"], "weight").select(key, F.col("topic").cast("long").alias("topic"))
-
-
 def evaluate_variant(df: DataFrame, topic: str, vec: str, tag: str) -> dict:
     """One row of quality measures for a labelling."""
     from .aggregates import topic_health

@@ -7,8 +7,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tallyloom.operators import clusters as CL
 from tallyloom.operators import coherence as C
+from tallyloom.operators import density as D
 from tallyloom.operators import lda as L
 from tallyloom.operators import outliers as O
 from tallyloom.operators import topics as T
@@ -58,32 +58,12 @@ def vectors(spark, n=90, d=6, k=4, copies=30):
     return spark.createDataFrame(rows, "id long, v array<double>"), x
 
 
-def brute_density(x, eps, min_samples, min_cluster):
-    u = x / np.linalg.norm(x, axis=1, keepdims=True)
-    near = u @ u.T >= 1 - eps
-    core = near.sum(1) >= min_samples
-    comp = np.arange(len(x))
-    for _ in range(len(x)):
-        for i in np.flatnonzero(core):
-            comp[i] = comp[np.flatnonzero(near[i] & core)].min()
-    lab = np.array([min([comp[j] for j in np.flatnonzero(near[i] & core)], default=-1) for i in range(len(x))])
-    return np.array([t if t >= 0 and (lab == t).sum() >= min_cluster else -1 for t in lab])
-
-
-@pytest.mark.parametrize("eps,pivots,cell_rows", [(0.02, 8, 20_000), (0.05, 3, 4), (0.3, 16, 7)])
-def test_density_topics(spark, eps, pivots, cell_rows):
-    """A third of the rows are copies; cells are split; the answer is the brute-force one."""
-    df, x = vectors(spark)
-    got = CL.density_topics(df, "id", "v", eps, 4, 5, pivots, cell_rows).orderBy("id").toPandas()
-    assert got.topic.tolist() == brute_density(x, eps, 4, 5).tolist()
-
-
 def test_components_long_path(spark):
     n = 40
     e = [(i, i + 1) for i in range(n)] + [(100, 101)]
     edges = spark.createDataFrame(e + [(b, a) for a, b in e], "src long, dst long")
     nodes = spark.createDataFrame([(i,) for i in list(range(n + 1)) + [100, 101]], "id long")
-    got = {r["id"]: r["component"] for r in CL.connected_components(edges, nodes).collect()}
+    got = {r["id"]: r["component"] for r in D.connected_components(edges, nodes).collect()}
     assert got == {**{i: 0 for i in range(n + 1)}, 100: 100, 101: 100}
 
 
