@@ -10,8 +10,10 @@ from ..functions import text as X
 from ..functions.cleaning import impact_code, lookup
 from ..operators import metrics as E
 from ..operators import models as M
+from ..operators import similar as Z
 from ..operators import windows as W
 from ..operators.profile import rounded
+from .basics import _scratch
 from .registry import IMPACT_SQL, impact, narratives, query, table
 from .texts import AREA_BY_LANG, TFIDF_SQL, ngrams_sql, words_sql
 
@@ -55,7 +57,8 @@ def fitted(spark, sf, which: str):
         scored = narratives(spark, sf).select("doc_id", scoring.complexity_score(
             F.col("doc_id") % 40, F.col("text"), lookup(F.col("lang"), AREA_BY_LANG)).alias("score"))
         rows = _topic_features(M.above_median(scored, "score"), F.col("doc_id") % 40)
-        _MODELS[at] = M.fit_numeric_classifier(rows, TOPIC_COLS, "label")
+        train = E.stratified_split(rows, "label", "doc_id").filter(~F.col("is_test"))
+        _MODELS[at] = M.fit_numeric_classifier(train, TOPIC_COLS, "label")
         return _MODELS[at]
     src = _texts(spark, sf).filter("impact_class IS NOT NULL")
     src = src.withColumn("quality", F.col("impact").isin("Both", "Rights-impacting").cast("int"))
@@ -89,7 +92,7 @@ def m04(spark, sf):
 LINE_FEATURES = ["l_quantity", "l_discount", "l_tax", "l_linenumber", "l_returnflag"]
 
 
-def _lines(spark, sf):
+def lines(spark, sf):
     li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_tax",
                                              "l_returnflag", "l_extendedprice")
     return M.numeric_features(M.above_median(li, "l_extendedprice"), LINE_FEATURES)
@@ -104,9 +107,11 @@ def m05a(spark, sf):
 
 @query("m05_complexity_classifier")
 def m05(spark, sf):
-    src = _lines(spark, sf)
-    model = M.fit_numeric_classifier(src, LINE_FEATURES, "label")
-    p = M.predict(model, src, None, "complexity")
+    """Scaled and fitted on three quarters of the rows, measured on the rest."""
+    src = lines(spark, sf).withColumn("key", F.concat_ws("-", "l_orderkey", F.col("l_linenumber").cast("int")))
+    split = E.stratified_split(src, "label", "key")
+    model = M.fit_numeric_classifier(split.filter(~F.col("is_test")), LINE_FEATURES, "label")
+    p = M.predict(model, split.filter("is_test"), None, "complexity")
     return E.confusion_matrix(p, "label", "complexity_class", [0, 1])
 
 
@@ -217,13 +222,17 @@ _QUB = f"(SELECT item_id, list_concat(t, {ngrams_sql('t', 2)}) AS g FROM (SELECT
   q AS (SELECT item_id, term, count(*) * any_value(idf) AS w FROM (SELECT item_id, unnest(g) AS term FROM {_QUB}) JOIN v USING (term) GROUP BY 1, 2),
   qn AS (SELECT item_id, term, w / sqrt(sum(w * w) OVER (PARTITION BY item_id)) AS w FROM q),
   s AS (SELECT item_id, doc_id, sum(weight * w) * 100 AS sim FROM d JOIN qn USING (term) GROUP BY 1, 2)
-  SELECT item_id, doc_id, round(sim, 4) AS similarity, rank FROM (SELECT *, row_number() OVER (PARTITION BY item_id
-  ORDER BY round(sim, 7) DESC, doc_id) AS rank FROM s) WHERE rank <= 5""")
+  SELECT item_id, doc_id, source, lang, round(sim, 4) AS similarity, rank FROM (SELECT *, row_number() OVER (PARTITION BY item_id
+  ORDER BY round(sim, 7) DESC, doc_id) AS rank FROM s) JOIN documents USING (doc_id) WHERE rank <= 5""")
 def m15(spark, sf):
-    t = X.ngrams(F.col("t"), 1, 2)
     q = table(spark, sf, "benchmark").select("item_id", X.word_tokens(F.col("text"), K.ENGLISH_STOP).alias("t"))
-    d = narratives(spark, sf).select("doc_id", X.word_tokens(F.col("text"), K.ENGLISH_STOP).alias("t"))
-    return rounded(M.similar_cases(q, d, "item_id", "doc_id", t, t, 5, 5, 0.9), 4, "similarity")
+    t = X.ngrams(F.col("t"), 1, 2)
+    return rounded(Z.similar_cases(q, _cases(spark, sf), "item_id", "doc_id", t, t, 5, 5, 0.9, ["source", "lang"]), 4, "similarity")
+
+
+def _cases(spark, sf):
+    return narratives(spark, sf).select(
+        "doc_id", "source", "lang", X.word_tokens(F.col("text"), K.ENGLISH_STOP).alias("t"))
 
 
 def proposals(df):
@@ -241,9 +250,55 @@ def score(spark, sf, df):
                    "resourcing_confidence", "novelty")
 
 
+KEY = ["conv_id", "turn"]
+
+
+def _asked(df):
+    """Proposals with their words, under one key."""
+    return proposals(df).select(F.struct(*KEY).alias("query"), X.word_tokens(F.col("proposal"), K.ENGLISH_STOP).alias("t"))
+
+
+def found_cases(spark, path, df):
+    return Z.similar_stored(spark, path, _asked(df), "query", X.ngrams(F.col("t"), 1, 2), 5)
+
+
+def stored_cases(spark, sf) -> str:
+    path = _scratch(spark, "cases")
+    Z.store_index(_cases(spark, sf), "doc_id", X.ngrams(F.col("t"), 1, 2), path, ["source", "lang"], 5, 0.9)
+    return path
+
+
+def score_with_cases(spark, sf, path, df):
+    return M.with_cases(score(spark, sf, df), KEY, Z.as_list(found_cases(spark, path, df), "query", "doc_id"))
+
+
+def flat_cases(found):
+    return rounded(found.select("query.*", "doc_id", "source", "lang", "similarity", "rank"), 4, "similarity")
+
+
 @query("m16_score_proposals")
 def m16(spark, sf):
-    return score(spark, sf, table(spark, sf, "conversations"))
+    """Scores, and the five nearest cases with their attributes."""
+    return score_with_cases(spark, sf, stored_cases(spark, sf), table(spark, sf, "conversations"))
+
+
+_PROPOSALS = f"""(SELECT conv_id, turn, list_concat(t, {ngrams_sql('t', 2)}) AS g FROM
+  (SELECT conv_id, turn, {words_sql(stop=True)} AS t FROM conversations WHERE role = 'user'))"""
+CASES_SQL = f"""WITH d AS MATERIALIZED (SELECT doc_id, term, weight FROM {TFIDF_SQL}), tf AS (SELECT doc_id, unnest(g) AS term FROM
+  (SELECT doc_id, list_distinct(list_concat(t, {ngrams_sql('t', 2)})) AS g FROM (SELECT doc_id, {words_sql(stop=True)} AS t FROM documents))),
+  v AS (SELECT term, ln(((SELECT count(*) FROM documents) + 1) / (count(*) + 1)) + 1 AS idf FROM tf GROUP BY 1 HAVING count(*) >= 5
+    AND count(*) <= 0.9 * (SELECT count(*) FROM documents)),
+  q AS (SELECT conv_id, turn, term, count(*) * any_value(idf) AS w FROM (SELECT conv_id, turn, unnest(g) AS term FROM {_PROPOSALS})
+    JOIN v USING (term) GROUP BY 1, 2, 3),
+  qn AS (SELECT conv_id, turn, term, w / sqrt(sum(w * w) OVER (PARTITION BY conv_id, turn)) AS w FROM q),
+  s AS (SELECT conv_id, turn, doc_id, sum(weight * w) * 100 AS sim FROM d JOIN qn USING (term) GROUP BY 1, 2, 3)
+  SELECT conv_id, turn, doc_id, source, lang, round(sim, 4) AS similarity, rank FROM (SELECT *, row_number() OVER (
+  PARTITION BY conv_id, turn ORDER BY round(sim, 7) DESC, doc_id) AS rank FROM s) JOIN documents USING (doc_id) WHERE rank <= 5"""
+
+
+@query("m16_similar_cases", CASES_SQL)
+def m16_cases(spark, sf):
+    return flat_cases(found_cases(spark, stored_cases(spark, sf), table(spark, sf, "conversations")))
 
 
 @query("m16_novelty", """SELECT l_orderkey, l_linenumber, l_partkey, round(100 - greatest(l_quantity, CASE WHEN l_tax > 0 THEN l_discount * 900 ELSE 0 END,

@@ -8,13 +8,16 @@ from pyspark.sql import functions as F
 from ..functions import constants as K
 from ..functions import text as X
 from ..operators import clusters as CL
+from ..operators import density as D
 from ..operators import lda as L
 from ..operators import topics as T
 from ..operators import windows as W
 from ..operators.profile import rounded
+from ..operators.textfeatures import term_counts
 from ..sources import tables as S
 from .basics import _scratch
 from .registry import gamma, narratives, query, table
+from .texts import words_sql
 
 TOPICS = 40
 K_GRID = [15, 20, 25, 30, 35, 40]
@@ -53,7 +56,45 @@ DENSITY = {"eps": 0.65, "min_samples": 4, "min_cluster": 8}
   SELECT v.vec_id, CASE WHEN lab.topic IN (SELECT topic FROM big) THEN lab.topic ELSE -1 END AS topic
   FROM v LEFT JOIN lab ON v.vec_id = lab.vec_id""")
 def t02(spark, sf):
-    return CL.density_topics(table(spark, sf, "embeddings"), "vec_id", "embedding", **DENSITY)
+    return D.density_topics(table(spark, sf, "embeddings"), "vec_id", "embedding", **DENSITY)
+
+
+SWEEP = {"eps": [0.5, 0.55, 0.6, 0.65], "min_samples": [2, 3, 4, 5], "min_cluster": [8, 10]}
+_eps, _least, _most = ("unnest([" + ", ".join(map(str, SWEEP[k])) + "])" for k in ("eps", "min_samples", "min_cluster"))
+_TERMS = f"(SELECT doc_id AS vec_id, term, count(*) AS tf FROM (SELECT doc_id, unnest({words_sql(stop=True)}) AS term FROM documents) GROUP BY 1, 2)"
+
+
+@query("t13_density_sweep", f"""WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+  pair AS (SELECT a.vec_id AS a, b.vec_id AS b, list_cosine_similarity(a.e, b.e) AS c FROM v a, v b),
+  edge AS (SELECT eps, a, b FROM pair, (SELECT {_eps} AS eps) WHERE c >= 1 - CAST(eps AS DOUBLE)),
+  core AS (SELECT eps, least, a AS id FROM (SELECT eps, a, count(*) AS n FROM edge GROUP BY ALL), (SELECT {_least} AS least) WHERE n >= least),
+  link AS (SELECT e.eps, x.least, a, b FROM edge e JOIN core x ON x.eps = e.eps AND x.id = a
+    JOIN core y ON y.eps = e.eps AND y.id = b AND y.least = x.least WHERE a <> b),
+  reach AS (SELECT eps, least, id, id AS other FROM core
+    UNION SELECT r.eps, r.least, r.id, l.b FROM reach r JOIN link l ON r.eps = l.eps AND r.least = l.least AND r.other = l.a),
+  comp AS (SELECT eps, least, id, min(other) AS c FROM reach GROUP BY ALL),
+  lab AS (SELECT e.eps, least, e.b AS vec_id, min(c) AS topic FROM edge e JOIN comp ON e.a = comp.id AND e.eps = comp.eps GROUP BY ALL),
+  size AS (SELECT eps, least, topic, count(*) AS n FROM lab GROUP BY ALL),
+  big AS (SELECT size.*, most FROM size, (SELECT {_most} AS most) WHERE n >= most),
+  health AS (SELECT eps, least, most, count(*) AS n_topics, sum(n) AS covered, count(*) FILTER (n < 6) AS tiny FROM big GROUP BY ALL),
+  tf AS (SELECT eps, least, topic, term, sum(tf) AS tf FROM lab JOIN {_TERMS} USING (vec_id) GROUP BY ALL),
+  kept AS (SELECT tf.*, most FROM tf JOIN big USING (eps, least, topic)),
+  score AS (SELECT *, round(tf * ln(1 + sum(tf) OVER s / (SELECT count(DISTINCT topic) FROM kept k WHERE k.eps = kept.eps AND
+    k.least = kept.least AND k.most = kept.most) / sum(tf) OVER t), 9) AS w FROM kept
+    WINDOW s AS (PARTITION BY eps, least, most), t AS (PARTITION BY eps, least, most, term)),
+  best AS (SELECT * FROM score QUALIFY row_number() OVER (PARTITION BY eps, least, most, topic ORDER BY w DESC, term) <= 10),
+  div AS (SELECT eps, least, most, count(DISTINCT term) / (count(DISTINCT topic) * 10) AS d FROM best GROUP BY ALL),
+  grid AS (SELECT eps, least, most FROM (SELECT {_eps} AS eps), (SELECT {_least} AS least), (SELECT {_most} AS most))
+  SELECT CAST(eps AS DOUBLE) AS eps, least AS min_samples, most AS min_cluster, coalesce(n_topics, 0) AS n_topics,
+    round(1 - coalesce(covered, 0) / (SELECT count(*) FROM v), 6) AS outlier_rate,
+    round(coalesce(tiny / n_topics, 1.0), 6) AS tiny_topic_share, round(d, 6) AS diversity
+  FROM grid LEFT JOIN health USING (eps, least, most) LEFT JOIN div USING (eps, least, most)""")
+def t13_density(spark, sf):
+    """32 settings from one graph; words of the document with the vector's id."""
+    words = term_counts(table(spark, sf, "documents").select(F.col("doc_id").alias("vec_id"), "text"), ["vec_id"],
+                        X.word_tokens(F.col("text"), K.ENGLISH_STOP))
+    out = D.density_sweep(table(spark, sf, "embeddings"), "vec_id", "embedding", tokens=words, **SWEEP)
+    return rounded(out, 6, "outlier_rate", "tiny_topic_share", "diversity")
 
 
 @query("t13_k_sweep")

@@ -1,4 +1,4 @@
-"""Text and numeric classifiers, similar cases, proposal scoring."""
+"""Text and numeric classifiers, proposal scoring."""
 
 from __future__ import annotations
 
@@ -21,11 +21,8 @@ from ..functions.cleaning import lookup
 from ..functions.scoring import proposal_band
 from ..functions.text import fold_accents
 from ..plans.ranges import exact_quantiles
-from ..plans.skew import HOT_ROWS, lookup_by_weight
 from .lda import df_limits
 from .metrics import with_class_weights
-from .textfeatures import smooth_idf, term_counts, tfidf, vocabulary
-from .windows import top_k_per_group
 
 
 def fold_text(df: DataFrame, text: str) -> DataFrame:
@@ -113,33 +110,6 @@ def top_coefficients(model: PipelineModel, spark, n: int = 20) -> DataFrame:
     return spark.createDataFrame(rows, "class int, side string, rank int, term string, coefficient double")
 
 
-# --- similar cases -------------------------------------------------------------------
-def similar_cases(queries: DataFrame, docs: DataFrame, q_key: str, d_key: str, q_tokens: Column, d_tokens: Column,
-                  k: int = 5, min_df: float = 3, max_df: float = 0.9, broadcast_rows: int = 2_000_000,
-                  spread: int = 32, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """(query, document, similarity in percent, rank), exact cosine of TF-IDF rows.
-
-    The document rows arrive hashed by document from the norm step. A checked-small query
-    side is broadcast, so products are summed where the document lies and only k
-    candidates per query and task move on. A larger query side is joined by term, with
-    document rows scattered over ``spread`` copies of each query term.
-    """
-    w = tfidf(docs, d_key, d_tokens, min_df, max_df, hot_rows)
-    n = docs.agg(F.count(F.lit(1))).scalar()
-    vocab = vocabulary(term_counts(docs, [d_key], d_tokens), n, min_df, max_df).select("term", "df")
-    q = term_counts(queries, [q_key], q_tokens).join(vocab, "term").select(
-        q_key, "term", (F.col("tf") * smooth_idf(n, F.col("df"))).alias("_q"))
-    length = q.groupBy(q_key).agg(F.sqrt(F.sum(F.col("_q") * F.col("_q"))).alias("_len"))
-    q = q.join(length, q_key).select(q_key, "term", (F.col("_q") / F.col("_len")).alias("qw"))
-    if q.limit(broadcast_rows + 1).count() <= broadcast_rows:
-        hits = w.join(F.broadcast(q), "term")
-    else:
-        salted = q.withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))))
-        hits = w.withColumn("_s", F.pmod(F.xxhash64(d_key), F.lit(spread)).cast("int")).join(salted, ["term", "_s"])
-    sims = hits.groupBy(d_key, q_key).agg((F.sum(F.col("weight") * F.col("qw")) * 100).alias("similarity"))
-    return top_k_per_group(sims, [q_key], [F.desc(F.round("similarity", 7)), F.asc(d_key)], k)
-
-
 # --- proposals ---------------------------------------------------------------------------
 def novelty(impact: Column, complexity: Column, resourcing: Column) -> Column:
     """100 minus the largest confidence, a missing one counting as 0."""
@@ -164,3 +134,11 @@ def score_proposals(df: DataFrame, text: str, impact: PipelineModel, resourcing:
         F.when(F.col("resourcing_class") == 1, "Contract").otherwise("In-House").alias("resourcing_label"),
         "resourcing_confidence",
         novelty(F.col("impact_confidence"), pc, F.col("resourcing_confidence")).alias("novelty"))
+
+
+def with_cases(scored: DataFrame, key: Sequence[str], cases: DataFrame) -> DataFrame:
+    """Scored proposals with their similar ``cases`` (``similar.as_list`` by a struct ``query`` of the
+    key columns); a proposal that shares no term with any case has none."""
+    flat = cases.select(*[F.col(f"query.{c}").alias(f"_{c}") for c in key], "cases")
+    on = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in key]
+    return scored.join(flat, on, "left").drop(*[f"_{c}" for c in key])

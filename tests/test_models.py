@@ -55,34 +55,6 @@ def test_flags(spark):
     assert got == {"b": 1, "c": 0}
 
 
-def cases(spark):
-    rng = np.random.default_rng(4)
-    words = ["the"] + [f"w{i}" for i in range(20)]
-    d = [(i, list(rng.choice(words, 12))) for i in range(50)]
-    q = [(i, list(rng.choice(words, 6))) for i in range(4)]
-    return (spark.createDataFrame(d, "d int, t array<string>"), spark.createDataFrame(q, "q int, t array<string>"), d, q)
-
-
-@pytest.mark.parametrize("kw", [{}, {"broadcast_rows": 3, "spread": 4}, {"hot_rows": 10}])
-def test_similar_cases(spark, kw):
-    docs, qs, d, q = cases(spark)
-    got = M.similar_cases(qs, docs, "q", "d", F.col("t"), F.col("t"), 5, 1, 1.0, **kw).toPandas()
-    vocab = sorted({w for _, t in d for w in t})
-    df = {w: sum(w in t for _, t in d) for w in vocab}
-
-    def vec(t):
-        v = np.array([t.count(w) * (np.log(51 / (df[w] + 1)) + 1) for w in vocab])
-        return v / (np.linalg.norm(v) or 1)
-
-    D = np.vstack([vec(t) for _, t in d])
-    for i, t in q:
-        s = D @ vec(t) * 100
-        want = sorted(range(50), key=lambda j: (-round(s[j], 7), j))[:5]
-        part = got[got.q == i].sort_values("rank")
-        assert part.d.tolist() == want
-        assert np.allclose(part.similarity, s[want])
-
-
 def test_text_classifier_learns(spark):
     rows = [(i, "alpha beta gamma" if i % 3 else "delta epsilon zeta", int(i % 3 > 0)) for i in range(60)]
     df = spark.createDataFrame(rows, "id int, text string, y int")
