@@ -9,6 +9,7 @@ from ..functions import text as X
 from ..functions import vectors as V
 from ..operators import aggregates as A
 from ..operators import coherence as C
+from ..operators import lda as L
 from ..operators import outliers as O
 from ..operators import topics as T
 from ..operators.profile import rounded
@@ -44,10 +45,29 @@ def t03(spark, sf):
     return rounded(top_by(spark, sf, "lang", 15).select("lang", "term", "score", "rank"), 6, "score")
 
 
-@query("t04_reduce_topics")
+def _merge_sql(k: int, rounds: int) -> str:
+    """Rounds written out one after another; those beyond the last change nothing."""
+    out = [f"""tf AS MATERIALIZED (SELECT source AS topic, term, count(*) AS tf FROM (SELECT source, unnest({words_sql(stop=True)}) AS term
+  FROM documents WHERE source IS NOT NULL) GROUP BY 1, 2),
+  own0 AS (SELECT source AS topic, source AS owner, count(*) AS n FROM documents WHERE source IS NOT NULL GROUP BY 1, 2)"""]
+    for i in range(rounds):
+        out.append(f"""live{i} AS (SELECT owner, sum(n) AS n, row_number() OVER (ORDER BY sum(n), owner) AS r, count(*) OVER () AS t FROM own{i} GROUP BY 1),
+  set{i} AS (SELECT owner, n, r <= greatest(0, least(t - {k}, t // 2)) AS small FROM live{i}),
+  w{i} AS (SELECT owner, term, sum(f.tf) AS tf FROM tf f JOIN own{i} USING (topic) GROUP BY 1, 2),
+  s{i} AS (SELECT owner, term, tf * ln(1 + (SELECT sum(tf) / count(DISTINCT owner) FROM w{i}) / sum(tf) OVER (PARTITION BY term)) AS w FROM w{i}),
+  u{i} AS MATERIALIZED (SELECT owner, term, small, w / sqrt(sum(w * w) OVER (PARTITION BY owner)) AS w FROM s{i} JOIN set{i} USING (owner)),
+  best{i} AS (SELECT a.owner AS a, b.owner AS b FROM u{i} a JOIN u{i} b USING (term) WHERE a.small AND NOT b.small GROUP BY 1, 2
+    QUALIFY row_number() OVER (PARTITION BY a.owner ORDER BY round(sum(a.w * b.w) * 100, 7) DESC, b.owner) = 1),
+  own{i + 1} AS (SELECT topic, o.n, CASE WHEN NOT small THEN o.owner ELSE coalesce(b, (SELECT owner FROM set{i} ORDER BY n DESC, owner LIMIT 1))
+    END AS owner FROM own{i} o JOIN set{i} x ON x.owner = o.owner LEFT JOIN best{i} ON a = o.owner)""")
+    return "WITH " + ",\n  ".join(out) + f"""
+  SELECT doc_id, source, coalesce(owner, source) AS topic_reduced FROM documents LEFT JOIN own{rounds} ON topic = source"""
+
+
+@query("t04_reduce_topics", _merge_sql(4, 4))
 def t04(spark, sf):
     d = narratives(spark, sf).select("doc_id", "source", "text")
-    return T.reduce_topics(d, "source", _tokens(), 10).select("doc_id", "source", "topic_reduced")
+    return T.reduce_topics(d, "source", _tokens(), 4).select("doc_id", "source", "topic_reduced")
 
 
 _NOISY = """(SELECT doc_id, text, CASE WHEN lang = 'fr' THEN -1 ELSE CAST(substr(source, 4) AS INTEGER) END AS topic
@@ -421,3 +441,33 @@ def t33(spark, sf):
     + " FROM documents GROUP BY 1")
 def t34(spark, sf):
     return A.crosstab(table(spark, sf, "documents"), "source", "lang", LANGS, "columns", 8)
+
+
+_AXIS = "list_transform(m, lambda r: list_dot_product(r, {v}))"
+
+
+@query("t35_topic_map", f"""WITH RECURSIVE t AS (SELECT lang, term, count(*) AS tf FROM (SELECT lang, unnest({words_sql(stop=True)}) AS term FROM documents)
+    GROUP BY 1, 2),
+  p AS (SELECT lang, term, tf / sum(tf) OVER (PARTITION BY lang) AS w FROM t),
+  l AS (SELECT DISTINCT lang FROM p),
+  g AS (SELECT a.lang AS a, b.lang AS b, coalesce(sum(x.w * y.w), 0) AS g FROM l a CROSS JOIN l b LEFT JOIN p x ON x.lang = a.lang
+    LEFT JOIN p y ON y.lang = b.lang AND y.term = x.term GROUP BY 1, 2),
+  c AS (SELECT a, b, g - avg(g) OVER (PARTITION BY a) - avg(g) OVER (PARTITION BY b) + avg(g) OVER () AS g FROM g),
+  m AS (SELECT list(r ORDER BY a) AS m FROM (SELECT a, list(g ORDER BY b) AS r FROM c GROUP BY 1)),
+  one AS (SELECT 0 AS i, list_transform(range(1, len(m) + 1), lambda k: 1.0 / (k * k)) AS v, m FROM m
+    UNION ALL SELECT i + 1, list_transform({_AXIS.format(v='v')}, lambda z: z / sqrt(list_dot_product({_AXIS.format(v='v')}, {_AXIS.format(v='v')}))), m
+    FROM one WHERE i < 400),
+  e AS (SELECT v AS v1, list_dot_product({_AXIS.format(v='v')}, v) AS l1, m FROM one WHERE i = 400),
+  d AS (SELECT v1, l1, list_transform(range(1, len(m) + 1), lambda i: list_transform(range(1, len(m) + 1), lambda j: m[i][j] - l1 * v1[i] * v1[j])) AS m FROM e),
+  two AS (SELECT 0 AS i, list_transform(range(1, len(m) + 1), lambda k: 1.0 / (k * k)) AS v, m FROM d
+    UNION ALL SELECT i + 1, list_transform({_AXIS.format(v='v')}, lambda z: z / sqrt(list_dot_product({_AXIS.format(v='v')}, {_AXIS.format(v='v')}))), m
+    FROM two WHERE i < 400),
+  f AS (SELECT v AS v2, list_dot_product({_AXIS.format(v='v')}, v) AS l2 FROM two WHERE i = 400),
+  s AS (SELECT lang, v1[k] * sqrt(l1) AS x, v2[k] * sqrt(l2) AS y FROM (SELECT lang, row_number() OVER (ORDER BY lang) AS k FROM l), d, f)
+  SELECT lang, round(x * sign(arg_max(x, abs(x)) OVER ()), 8) AS x, round(y * sign(arg_max(y, abs(y)) OVER ()), 8) AS y FROM s""")
+def t35_map(spark, sf):
+    """Languages by their shares of words."""
+    tf = T.class_terms(narratives(spark, sf), "lang", _tokens())
+    total = tf.groupBy("lang").agg(F.sum("tf").alias("n"))
+    shares = tf.join(F.broadcast(total), "lang").select("lang", "term", (F.col("tf") / F.col("n")).alias("w"))
+    return rounded(L.project_topics(shares, "lang", "term", "w"), 8, "x", "y")

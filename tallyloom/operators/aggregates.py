@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import dates as D
-from ..plans.ranges import exact_quantiles, null_safe_join
+from ..plans.ranges import exact_quantiles
+from ..plans.skew import lookup_by_weight
 
 
 def _col(c) -> Column:
@@ -240,7 +241,8 @@ def histogram(df: DataFrame, v: str, bins: int | None = None, by: Sequence[str]
     stats = F.struct(F.min(x).alias("lo"), F.max(x).alias("hi"), nb.alias("bins"))
     src = df.filter(F.col(v).isNotNull())
     if by:
-        src = null_safe_join(src, src.groupBy(*by).agg(stats.alias("_s")), by)
+        # A class with most of the rows meets its bounds where its rows lie.
+        src = lookup_by_weight(src, src.groupBy(*by).agg(stats.alias("_s"), F.count(F.lit(1)).alias("_n")), by, "_n").drop("_n")
         s = F.col("_s")
     else:
         s = src.agg(stats).scalar()

@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.clustering import LDA, LDAModel
 from pyspark.ml.feature import PCA, CountVectorizerModel, StandardScaler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from ..functions import vectors as V
 from . import coherence as C
@@ -125,6 +128,50 @@ def project_2d(df: DataFrame, key: str, vec: str) -> DataFrame:
         key, (F.get(a, F.lit(0)) * sign[0]).alias("x"), (F.get(a, F.lit(1)) * sign[1]).alias("y"))
 
 
+MOST_TOPICS = 1024      # rows of a table whose products of all rows fit on the driver
+
+
+def project_topics(weights: DataFrame, topic: str, term: str, weight: str) -> DataFrame:
+    """(topic, x, y), the first two principal components of a topic-term table, one row per
+    topic and term; a term that a topic lacks counts 0, so columns are aligned by term.
+
+    There are few topics and many terms: components come from the topics' products with each other, centred on both
+    sides, so no table of term pairs is made. Products are summed as matrices where the terms lie. The
+    largest coordinate of an axis is made positive. At most 1,024 topics.
+    """
+    ids = [r[0] for r in weights.select(topic).distinct().limit(MOST_TOPICS + 1).collect()]
+    if len(ids) > MOST_TOPICS:
+        raise ValueError(f"more than {MOST_TOPICS} topics")
+    ids.sort()
+    spark = weights.sparkSession
+    at = spark.createDataFrame([(t, i) for i, t in enumerate(ids)], StructType(
+        [weights.schema[topic], StructField("_at", IntegerType())]))
+    rows = weights.join(F.broadcast(at), topic).groupBy(term).agg(
+        F.collect_list(F.struct("_at", F.col(weight).cast("double").alias("w"))).alias("r")).select("r._at", "r.w")
+
+    def fold(batches):
+        acc = np.zeros((len(ids), len(ids)))
+        for b in batches:
+            n = b.column(0).value_lengths().to_numpy(zero_copy_only=False)
+            m = np.zeros((b.num_rows, len(ids)))
+            np.add.at(m, (np.repeat(np.arange(b.num_rows), n), b.column(0).flatten().to_numpy()), b.column(1).flatten().to_numpy())
+            acc += m.T @ m
+        i, j = (x.ravel().astype(np.int32) for x in np.indices(acc.shape))
+        yield pa.RecordBatch.from_arrays([pa.array(i), pa.array(j), pa.array(acc.ravel())], names=["i", "j", "g"])
+
+    g = np.zeros((len(ids), len(ids)))
+    for r in rows.mapInArrow(fold, "i int, j int, g double").groupBy("i", "j").agg(F.sum("g").alias("g")).collect():
+        g[r.i, r.j] = r.g
+    centre = np.eye(len(ids)) - 1 / max(len(ids), 1)
+    value, axis = np.linalg.eigh(centre @ g @ centre) if ids else (np.zeros(0), np.zeros((0, 0)))
+    out = np.zeros((len(ids), 2))
+    for k in range(min(2, len(ids))):
+        x = axis[:, -1 - k] * np.sqrt(max(value[-1 - k], 0))
+        out[:, k] = x * np.sign(x[np.abs(x).argmax()] or 1)
+    return spark.createDataFrame([(t, *map(float, xy)) for t, xy in zip(ids, out, strict=True)], StructType(
+        [weights.schema[topic], StructField("x", DoubleType()), StructField("y", DoubleType())]))
+
+
 def topic_features(assign: DataFrame, key: str, k: int) -> DataFrame:
     """Id, one column per topic probability, one-hot of the dominant topic."""
     wide = spread_probs(assign.select(key, "gamma", "lda_topic"), "gamma", k)

@@ -17,9 +17,11 @@ from ..functions import vectors as V
 from ..functions.cleaning import lookup, nice_title
 from ..functions.scoring import focus_bucket
 from ..functions.text import ngrams
-from ..plans.ranges import exact_quantiles, null_safe_join
+from ..plans.ranges import dense_index, exact_quantiles, null_safe_join
 from ..plans.skew import HOT_ROWS, lookup_by_weight
+from ..session import cut_lineage
 from .joins import outer_counts
+from .similar import top_matches, unit_rows
 from .textfeatures import term_counts
 from .windows import top_k_per_group
 
@@ -103,53 +105,38 @@ def topic_overlap(a: DataFrame, b: DataFrame, a_id: str, b_id: str) -> DataFrame
 
 
 # --- merging topics ---------------------------------------------------------------
-MAX_DRIVER_TOPICS = 4096
-
-
-def topic_gram(scores: DataFrame, topic: str, ids: Sequence) -> DataFrame:
-    """(i, j, g): dot products of the topic vectors, i and j positions in ``ids``. One row
-    per term holds all topics; the products are formed as matrices inside the tasks."""
-    vec = F.array(*[F.sum(F.when(F.col(topic) == t, F.col("score")).otherwise(0.0)) for t in ids])
-    return gram(scores.groupBy("term").agg(vec.alias("v")), "v")
-
-
-def merge_plan(dots: Mapping[tuple, float], sizes: Mapping, k: int) -> dict:
-    """Repeatedly merge the smallest topic into the most similar one. A merged topic is the
-    sum of its members, so the dot products of the start decide every later step."""
-    ids = sorted(sizes)
-    pos = {t: i for i, t in enumerate(ids)}
-    g = np.zeros((len(ids), len(ids)))
-    for (a, b), d in dots.items():
-        g[pos[a], pos[b]] = d
-    n = np.array([float(sizes[t]) for t in ids])
-    alive = np.ones(len(ids), dtype=bool)
-    owner = np.arange(len(ids))
-    while alive.sum() > k:
-        live = np.flatnonzero(alive)
-        s = min(live, key=lambda i: (n[i], i))
-        length = np.sqrt(np.maximum(np.diag(g), 1e-300))
-        others = live[live != s]
-        best = max(others, key=lambda j: (g[s, j] / (length[s] * length[j]), -j))
-        g[best, :] += g[s, :]
-        g[:, best] += g[:, s]
-        n[best] += n[s]
-        alive[s] = False
-        owner[owner == s] = best
-    return {t: ids[owner[i]] for t, i in pos.items()}
-
-
 def reduce_topics(df: DataFrame, topic: str, tokens: Column, k: int, name: str = "topic_reduced") -> DataFrame:
-    """T4: merge down to k topics and re-label the rows. Only the topic-by-topic table
-    (bounded and checked) reaches the driver."""
-    scores = ctfidf(class_terms(df, topic, tokens), topic)
-    size_rows = df.groupBy(topic).agg(F.count(F.lit(1)).alias("n")).limit(MAX_DRIVER_TOPICS + 1).collect()
-    if len(size_rows) > MAX_DRIVER_TOPICS:
-        raise ValueError(f"more than {MAX_DRIVER_TOPICS} topics to merge; cluster more coarsely first")
-    sizes = {r[0]: r[1] for r in size_rows if r[0] is not None and r[0] != -1}
-    ids = sorted(sizes)
-    dots = {(ids[r["i"]], ids[r["j"]]): r["g"] for r in topic_gram(scores, topic, ids).collect()}
-    plan = merge_plan(dots, sizes, k)
-    return df.withColumn(name, F.coalesce(lookup(F.col(topic), plan), F.col(topic)))
+    """T4: merge down to k topics and re-label the rows; other rows keep their value.
+
+    In a round the smallest topics, as many as are too many but at most half of all, each join
+    the most similar of the others by class-based TF-IDF (ties to the smaller id; the largest topic where none
+    shares a word). A round's merges do not depend on each other; the next one weighs the merged topics' words
+    anew. Partners are found by blocks (``similar.top_matches``), so no table of topic pairs is made and
+    the number of topics has no limit; rounds grow with the logarithm of it.
+    """
+    real = F.col(topic) >= 0 if isinstance(df.schema[topic].dataType, NumericType) else F.col(topic).isNotNull()
+    tf = cut_lineage(class_terms(df.filter(real), topic, tokens))
+    ids = cut_lineage(tf.select("term").distinct().withColumn("id", F.monotonically_increasing_id()))
+    owners = cut_lineage(df.filter(real).groupBy(topic).agg(F.count(F.lit(1)).alias("n")).withColumn("_owner", F.col(topic)))
+    left = owners.count()
+    while left > k:
+        merged = min(left - k, left // 2)
+        live = owners.groupBy("_owner").agg(F.sum("n").alias("n"))
+        ranked = cut_lineage(dense_index(live.withColumn("_o", F.struct("n", "_owner")), "_o", "_r"))
+        largest = ranked.orderBy(F.desc("n"), "_owner").first()["_owner"]
+        words = tf.join(owners.select(topic, "_owner"), topic).groupBy("_owner", "term").agg(F.sum("tf").alias("tf"))
+        weights = ctfidf(words, "_owner").join(ids, "term").select("_owner", "id", F.col("score").alias("w"))
+        rows = cut_lineage(unit_rows(weights, "_owner"))
+        small = ranked.filter(F.col("_r") < merged).select("_owner")
+        into = top_matches(rows.join(small, "_owner", "left_anti").withColumnRenamed("_owner", "_into"), "_into",
+                           rows.join(small, "_owner"), "_owner", 1)
+        moved = small.join(into, "_owner", "left").select(
+            F.col("_owner").alias("_from"), F.coalesce("_into", F.lit(largest)).alias("_into"))
+        owners = cut_lineage(owners.join(moved, F.col("_owner") == F.col("_from"), "left").select(
+            topic, "n", F.coalesce("_into", "_owner").alias("_owner")))
+        left -= merged
+    to = owners.withColumnRenamed("_owner", "_to")
+    return lookup_by_weight(df, to, [topic], "n").withColumn(name, F.coalesce("_to", topic)).drop("n", "_to")
 
 
 # --- vectors ------------------------------------------------------------------------

@@ -2,7 +2,7 @@
 
 A global window, ``percentile`` or ``row_number`` over a whole table runs in one
 task. These helpers cut the ordering column into ranges first: split points come
-from one bounded sketch (a scalar subquery), every range is handled by its own
+from a bounded sample (a scalar subquery), every range is handled by its own
 task, and only the per-range totals (at most ``parts`` rows per group) are summed
 in order. All of it is one lazy plan.
 """
@@ -13,10 +13,9 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 MIN_PARTS, MAX_PARTS = 64, 10_000
-_SKETCHABLE = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)
+SAMPLE = 16          # rows looked at per range when the ranges are chosen
 
 
 def session_parts(df: DataFrame, parts: int | None = None) -> int:
@@ -28,24 +27,28 @@ def session_parts(df: DataFrame, parts: int | None = None) -> int:
     return max(MIN_PARTS, min(wanted, MAX_PARTS))
 
 
-def split_points(df: DataFrame, col: str, parts: int) -> Column:
-    """At most ``parts - 1`` split points as an array-valued scalar subquery."""
-    probs = [i / parts for i in range(1, parts)]
-    if isinstance(df.schema[col].dataType, _SKETCHABLE):
-        return df.agg(F.percentile_approx(col, probs, 20 * parts).alias("e")).scalar()
-    # Other orderable types: the keys with the smallest hashes are a uniform,
-    # repeatable sample of bounded size.
-    sample = df.select(col).orderBy(F.xxhash64(col)).limit(parts * 8)
-    srt = sample.agg(F.sort_array(F.collect_list(col)).alias("s"))
+def split_points(df: DataFrame, col: str, parts: int, unique: Sequence[str] = ()) -> Column:
+    """About ``SAMPLE`` values per range, sorted, every ``SAMPLE``-th of which is a split point: an
+    array-valued scalar subquery.
+
+    The sample is the rows whose hash (of ``unique``, the columns that tell rows apart) is below
+    its share of all rows, so every task picks its own; nothing is merged but the values picked, whose number
+    depends on ``parts`` alone. The same rows are picked whenever it is evaluated.
+    """
+    n = df.agg(F.count(F.lit(1)).alias("n")).scalar()
+    share = F.lit(float(parts * SAMPLE)) / F.greatest(n, F.lit(1))
+    place = F.pmod(F.xxhash64(*(unique or [col])), F.lit(2**40)) / F.lit(float(2**40))
+    picked = df.filter(place < share).agg(F.sort_array(F.collect_list(col)).alias("s"))
     step = F.greatest(F.lit(1), (F.size("s") / parts).cast("int"))
-    return srt.select(
+    return picked.select(
         F.when(F.size("s") > 1, F.transform(
             F.sequence(F.lit(1), F.size("s"), step), lambda i: F.element_at("s", i)
         )).otherwise(F.col("s")).alias("e")
     ).scalar()
 
 
-def with_range(df: DataFrame, order: str, source: DataFrame, parts: int, name: str = "_b") -> DataFrame:
+def with_range(df: DataFrame, order: str, source: DataFrame, parts: int, name: str = "_b",
+               unique: Sequence[str] = ()) -> DataFrame:
     """Adds how many split points lie below the value; monotone in the value.
 
     Found in two steps (every k-th point, then the k points after it), so a row costs
@@ -53,7 +56,7 @@ def with_range(df: DataFrame, order: str, source: DataFrame, parts: int, name: s
     """
     k = max(1, int(parts ** 0.5))
     v = F.col(order)
-    pts = df.withColumn("_pts", F.coalesce(split_points(source, order, parts), F.array().cast(
+    pts = df.withColumn("_pts", F.coalesce(split_points(source, order, parts, unique), F.array().cast(
         f"array<{source.schema[order].dataType.simpleString()}>")))
     coarse = F.filter(F.sequence(F.lit(1), F.greatest(F.size("_pts"), F.lit(1)), F.lit(k)),
                       lambda i: F.get(F.col("_pts"), i - 1) < v)
@@ -73,7 +76,7 @@ def running_totals(
     values are already one row.
     """
     by = list(by)
-    b = with_range(df, order, df, session_parts(df, parts))
+    b = with_range(df, order, df, session_parts(df, parts), unique=[*by, order])
     tot = b.groupBy(*by, "_b").agg(*[F.sum(s).alias(s) for s in sums])
     first = F.col("_b").desc() if descending else F.col("_b").asc()
     before = Window.partitionBy(*by).orderBy(first).rowsBetween(Window.unboundedPreceding, -1)
