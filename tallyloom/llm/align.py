@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import os
-from collections.abc import Iterator, Sequence
+import json
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -11,13 +11,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .bpe import _groups, _offsets, _ranges
+from .bpe import Encoder, _groups, _offsets, _ranges
 from .registry import query, table
 from .util import saved
 
-LANE = 1024              # bytes that one lane of the lockstep covers
-PART = 65_536            # characters after which a long text is encoded in parts
+LANE = 256               # bytes that one lane of the lockstep covers
+GROUP = 400_000          # characters of texts that are aligned together
+REMEMBERED = 120_000     # words of each kind that a worker remembers before it starts afresh
 HOT_PAIRS = 1_000_000    # most id pairs that are broadcast
+# Fixed value: where byte-level pre-tokenizers split.
+BYTE_LEVEL = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+Task = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
 ARRAYS = ("a_ids", "b_ids", "a_cuts", "b_cuts", "link_a", "link_b")
 
 
@@ -30,69 +34,73 @@ def byte_letters() -> dict[str, int]:
 
 
 class Vocabulary:
-    """Byte strings by id, and an encoder of text parts that stand after a space."""
+    """Byte strings by id, and an encoder of texts that stand after a space."""
 
-    def __init__(self, tokens: Sequence[bytes], encode):
-        self.encode = encode
+    def __init__(self, tokens: Sequence[bytes], encoder: Encoder):
+        self.encoder = encoder
         self.size = np.array([len(t) for t in tokens], np.int64)
         self.start = np.concatenate([[0], np.cumsum(self.size)[:-1]])
         self.flat = np.frombuffer(b"".join(tokens), np.uint8)
 
+    def encode(self, texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one after another, and how many each has; none for an empty text."""
+        if len(self.encoder.index) > REMEMBERED:
+            self.encoder.forget()
+        ids, sizes = self.encoder.encode([" " + t if t else "" for t in texts])
+        return ids.astype(np.int64), sizes
+
     def text(self, ids: np.ndarray) -> np.ndarray:
         return self.flat[_ranges(self.start[ids], self.size[ids])]
 
 
 def byte_vocabulary(source: str) -> Vocabulary:
-    """A byte-level BPE file of the ``tokenizers`` library; special tokens are plain text."""
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
-
-    t, letters = Tokenizer.from_str(source), byte_letters()
-    t.encode_special_tokens = True
-    tokens = [b""] * (max(t.get_vocab().values()) + 1)
-    for entry, i in t.get_vocab().items():
-        known = all(c in letters for c in entry)
-        tokens[i] = bytes(letters[c] for c in entry) if known else entry.encode()
-    return Vocabulary(tokens, lambda parts: [
-        e.ids for e in t.encode_batch_fast([" " + p for p in parts], add_special_tokens=False)])
+    """A byte-level BPE file of the ``tokenizers`` library; special tokens are plain text. Its merges
+    are looked for in the order of their tokens' ids, which such files have."""
+    spec, letters = json.loads(source), byte_letters()
+    model, split = spec["model"], spec["pre_tokenizer"]
+    if model["type"] != "BPE" or spec["normalizer"] or split["type"] != "ByteLevel" or split["add_prefix_space"]:
+        raise ValueError("not a plain byte-level BPE file")
+    vocab = sorted(model["vocab"], key=model["vocab"].get)
+    if [model["vocab"][t] for t in vocab] != list(range(len(vocab))):
+        raise ValueError("ids are not 0..n-1")
+    merged = [model["vocab"]["".join(m if isinstance(m, list) else m.split(" "))] for m in model["merges"]]
+    if merged != sorted(merged):
+        raise ValueError("merges are not in the order of their ids")
+    tokens = [bytes(letters[c] for c in t) for t in vocab]
+    return Vocabulary(tokens, Encoder(tokens, BYTE_LEVEL))
+
+
+class _Words(Encoder):
+    """Words with the spaces before them, each encoded once: no piece of the model has a space
+    after another character, so a text's pieces are those of its words."""
+
+    def __init__(self, model):
+        import regex
+
+        self.model, self.merges = model, self
+        self.split = regex.compile(" *[^ ]+| +$").findall
+        self.forget()
+
+    def encode_pieces(self, words: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        # The model puts one space before a text itself, but not before an empty one.
+        ids = self.model.encode([w.decode()[1:] for w in words], num_threads=1)
+        alone = [self.model.piece_to_id("▁")]
+        ids = [alone if w == b" " else i for w, i in zip(words, ids, strict=True)]
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        return np.fromiter((i for row in ids for i in row), np.int32, int(sizes.sum())), sizes
 
 
 def piece_vocabulary(model: bytes) -> Vocabulary:
-    """A ``sentencepiece`` model; it puts the space before the text itself."""
+    """A ``sentencepiece`` BPE model; it puts the space before the text itself."""
     from sentencepiece import SentencePieceProcessor
 
     p = SentencePieceProcessor(model_proto=model)
     pieces = [p.id_to_piece(i) for i in range(p.vocab_size())]
+    if any("▁" in s.lstrip("▁") for s in pieces):
+        raise ValueError("a piece has a space after another character")
     tokens = [bytes([int(s[3:5], 16)]) if p.is_byte(i) else s.replace("▁", " ").encode()
               for i, s in enumerate(pieces)]
-    return Vocabulary(tokens, lambda parts: p.encode(list(parts), num_threads=1))
-
-
-def parts_of(text: str, most: int = PART) -> list[str]:
-    """Cuts a long text at spaces after a letter or digit, where no token of either kind reaches across.
-    The space goes: every part is encoded as text after a space."""
-    out, first = [], 0
-    while len(text) - first > most:
-        at = first + most
-        while True:
-            at = text.find(" ", at)
-            if at < 0 or text[at - 1].isalnum():
-                break
-            at += 1
-        if at < 0 or at + 1 == len(text):
-            break
-        out.append(text[first:at])
-        first = at + 1
-    out.append(text[first:])
-    return out
-
-
-def _encoded(vocabulary: Vocabulary, parts: Sequence[str], rows: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Ids end to end, and the number of ids of each of ``n`` rows."""
-    ids = vocabulary.encode(parts)
-    sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-    flat = np.fromiter((i for row in ids for i in row), np.int64, int(sizes.sum()))
-    return flat, np.bincount(rows, sizes, n).astype(np.int64)
+    return Vocabulary(tokens, _Words(p))
 
 
 def _same(vocabulary: Vocabulary, ids: np.ndarray, sizes: np.ndarray, raw: np.ndarray, length: np.ndarray) -> np.ndarray:
@@ -139,13 +147,10 @@ def lockstep(a_end: np.ndarray, b_end: np.ndarray, starts: np.ndarray, lane: int
 def align_texts(a: Vocabulary, b: Vocabulary, texts: Sequence[str]) -> dict[str, tuple[np.ndarray, np.ndarray]]:
     """For each of ARRAYS: values of all texts end to end, and how many each text has."""
     n = len(texts)
-    cut_up = [parts_of(t) if t else [] for t in texts]
-    parts = [p for c in cut_up for p in c]
-    rows = np.repeat(np.arange(n), [len(c) for c in cut_up])
-    raw_parts = [(" " + t).encode("utf-8", "replace") if t else b"" for t in texts]
-    length = np.fromiter(map(len, raw_parts), np.int64, n)
-    raw = np.frombuffer(b"".join(raw_parts), np.uint8)
-    (a_ids, a_n), (b_ids, b_n) = _encoded(a, parts, rows, n), _encoded(b, parts, rows, n)
+    raw_texts = [(" " + t).encode("utf-8", "replace") if t else b"" for t in texts]
+    length = np.fromiter(map(len, raw_texts), np.int64, n)
+    raw = np.frombuffer(b"".join(raw_texts), np.uint8)
+    (a_ids, a_n), (b_ids, b_n) = a.encode(texts), b.encode(texts)
     ok = _same(a, a_ids, a_n, raw, length) & _same(b, b_ids, b_n, raw, length)
     a_ids, b_ids = a_ids[np.repeat(ok, a_n)], b_ids[np.repeat(ok, b_n)]
     a_n, b_n, length = np.where(ok, a_n, 0), np.where(ok, b_n, 0), np.where(ok, length, 0)
@@ -174,28 +179,33 @@ def align(docs: DataFrame, a_path: str, b_path: str, text_col: str = "text", kee
     Space and text are encoded by the byte-level BPE file ``a_path`` and by the piece
     model ``b_path``. Tokens are aligned by their bytes: where either's joined bytes are not those of
     space and text (the piece model normalises some texts), all arrays are empty, as they are for
-    null and empty texts. Batches are cut into groups of a few million characters, each merged in lockstep; very long
-    texts are encoded in parts, cut at spaces, and merged in lanes; a long text without spaces is one part.
+    null and empty texts. Words of a batch are encoded once and remembered. Batches are cut into groups of
+    a few hundred thousand characters, each merged in lockstep; a very long text is merged in many lanes.
     Rows, their order and repeats stay; nothing is shuffled. ``keep`` names the columns to carry
     (default: all; those named as an added one are replaced). Both files (a few MB) are read on
     the driver and broadcast.
     """
     keep = [c for c in (docs.columns if keep is None else keep) if c not in ARRAYS]
+    src = docs.select(*keep, F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
+    return src.mapInArrow(_aligner(docs, a_path, b_path, keep), _schema(docs, keep, ", ".join(f"{c} array<int>" for c in ARRAYS)))
+
+
+def _aligner(docs: DataFrame, a_path: str, b_path: str, keep: Sequence[str]) -> Task:
+    """From batches of the columns ``keep`` and a text."""
     with open(a_path, encoding="utf-8") as f, open(b_path, "rb") as g:
         files = docs.sparkSession.sparkContext.broadcast((f.read(), g.read()))
-    src = docs.select(*keep, F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = byte_vocabulary(files.value[0]), piece_vocabulary(files.value[1])
         for batch in batches:
             texts = batch.column(len(keep)).to_pylist()
-            for x, y in _groups(texts, 2_000_000):
+            for x, y in _groups(texts, GROUP):
                 got = align_texts(a, b, texts[x:y])
                 cols = [batch.column(i).slice(x, y - x) for i in range(len(keep))]
                 yield pa.RecordBatch.from_arrays(
                     [*cols, *[_lists(*got[c], pa.int32()) for c in ARRAYS]], names=[*keep, *ARRAYS])
 
-    return src.mapInArrow(run, _schema(docs, keep, ", ".join(f"{c} array<int>" for c in ARRAYS)))
+    return run
 
 
 def _flat(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -203,24 +213,29 @@ def _flat(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
             col.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64))
 
 
+DIGESTS = ("n_a bigint, n_b bigint, n_groups bigint, n_links bigint, groups_sha256 string, "
+           "pairs array<bigint>, times array<int>")
+
+
 def with_digests(aligned: DataFrame, b_ids: int) -> DataFrame:
     """Instead of the arrays: ``n_a``, ``n_b``, ``n_groups``, ``n_links``, ``groups_sha256``, and the
     row's distinct linked id pairs as ``pairs`` (A id times ``b_ids`` plus B id) with how often
     each is linked, ``times``."""
-    import hashlib
-
     keep = [c for c in aligned.columns if c not in ARRAYS]
-    add = ("n_a bigint, n_b bigint, n_groups bigint, n_links bigint, groups_sha256 string, "
-           "pairs array<bigint>, times array<int>")
+    return aligned.select(*keep, *ARRAYS).mapInArrow(_digester(keep, b_ids), _schema(aligned, keep, DIGESTS))
+
+
+def _digester(keep: Sequence[str], b_ids: int) -> Task:
+    import hashlib
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+        names: dict[str, np.ndarray] = {}
 
         def written(ids: np.ndarray, end: np.ndarray, last: str) -> np.ndarray:
-            top = int(ids.max(initial=0))
-            if last not in names or names[last][0].size <= top:
-                names[last] = tuple(np.array([f"{i}{mark}" for i in range(top + 1)], object) for mark in (",", last))
-            return np.where(end, names[last][1][ids], names[last][0][ids])
+            top = int(ids.max(initial=0)) + 1
+            if last not in names or names[last].size < 2 * top:
+                names[last] = np.array([f"{i}{mark}" for mark in (",", last) for i in range(top)], object)
+            return names[last][ids + end * (names[last].size // 2)]
 
         for batch in batches:
             n = batch.num_rows
@@ -251,9 +266,9 @@ def with_digests(aligned: DataFrame, b_ids: int) -> DataFrame:
             cols = [batch.column(i) for i in range(len(keep))]
             cols += [pa.array(v, pa.int64()) for v in (an, bn, cn, ln)]
             cols += [pa.array(digests, pa.string()), _lists(key[first], sizes, pa.int64()), _lists(times, sizes, pa.int32())]
-            yield pa.RecordBatch.from_arrays(cols, names=[*keep, *[c.split()[0] for c in add.split(", ")]])
+            yield pa.RecordBatch.from_arrays(cols, names=[*keep, *[c.split()[0] for c in DIGESTS.split(", ")]])
 
-    return aligned.mapInArrow(run, _schema(aligned, keep, add))
+    return run
 
 
 def pair_counts(rows: DataFrame, b_ids: int) -> DataFrame:
@@ -301,9 +316,11 @@ def alignment_report(docs: DataFrame, a_path: str, b_path: str, text_col: str =
     b_ids = SentencePieceProcessor(model_file=b_path).vocab_size()
     added = {"n_a", "n_b", "n_groups", "n_links", "groups_sha256", "pairs", "times", "n_best", "count_sum"}
     keep = [c for c in (docs.columns if keep is None else keep) if c not in added]
-    src = docs.select(F.struct(*[F.col(c) for c in keep]).alias("_row"), F.col(text_col).alias("_src"))
-    done = with_digests(align(src, a_path, b_path, "_src", ["_row"]), b_ids)
-    rows = saved(done.withColumn("_n", F.monotonically_increasing_id()), "aligned", 2_000)
+    src = docs.select(F.struct(*[F.col(c) for c in keep]).alias("_row"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
+    first, then = _aligner(src, a_path, b_path, ["_row"]), _digester(["_row"], b_ids)
+    # ``align`` and ``with_digests`` in one worker: the arrays between them do not leave it.
+    done = src.mapInArrow(lambda batches: then(first(batches)), _schema(src, ["_row"], DIGESTS))
+    rows = saved(done.withColumn("_n", F.monotonically_increasing_id()), "aligned", 1_000)
     return with_pair_counts(rows, b_ids).select(
         *[F.col(f"_row.`{c}`").alias(c) for c in keep],
         "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")

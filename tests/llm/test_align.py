@@ -102,22 +102,6 @@ def test_lockstep_in_lanes_of_any_length(both, lane, monkeypatch):
         assert list(map(list, zip(row["a_cuts"], row["b_cuts"]))) == ends
 
 
-@pytest.mark.parametrize("most", [1, 5, 40])
-def test_parts_change_nothing(both, most, monkeypatch):
-    texts = [t for t in TEXTS if t] + ["one, two  three.\nfour five  six seven a1 b2 " * 30]
-    whole = L.align_texts(*both, texts)
-    monkeypatch.setattr(L.parts_of, "__defaults__", (most,))
-    parted = L.align_texts(*both, texts)
-    assert max(len(L.parts_of(t)) for t in texts) > 100
-    for c in L.ARRAYS:
-        assert all((x == y).all() for x, y in zip(whole[c], parted[c], strict=True)), c
-
-
-def test_no_piece_has_a_space_after_something_else():
-    _, p = libraries()
-    assert not [s for s in map(p.id_to_piece, range(p.vocab_size())) if "▁" in s.lstrip("▁")]
-
-
 @pytest.mark.parametrize("most", [1, 1_000_000])
 def test_report_against_brute_force(spark, monkeypatch, most):
     monkeypatch.setattr(L, "HOT_PAIRS", most)           # 1: no pair is broadcast
