@@ -25,6 +25,9 @@ from .lda import df_limits
 from .metrics import with_class_weights
 
 
+TASK_ROWS = 10_000      # training rows that one task holds
+
+
 def fold_text(df: DataFrame, text: str) -> DataFrame:
     return df.withColumn("_folded", fold_accents(F.lower(F.coalesce(text, F.lit("")))))
 
@@ -34,10 +37,12 @@ def fit_text_classifier(df: DataFrame, text: str, label: str, binary: bool = Fal
     """M3, M4: words and bigrams, smoothed idf + 1, unit rows, balanced logistic regression
     with unit penalty. Every term inside the document-frequency limits is kept; vocabulary
     and coefficients live on the driver, as they must in any linear text model."""
-    # Rows are dealt out evenly: a hot text or label must not make a hot training task.
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    src = fold_text(df.filter(F.col(label).isNotNull()).select(label, text), text).select(label, "_folded")
-    src = with_class_weights(src, label).repartition(parts).persist()
+    rows = df.filter(F.col(label).isNotNull()).select(label, text)
+    n = rows.count()
+    src = with_class_weights(fold_text(rows, text).select(label, "_folded"), label)
+    # Rows are dealt out evenly, a hot text or label must not make a hot training task; and in tasks that
+    # are worth a job per gradient, so their number follows the rows.
+    src = src.repartition(-(-n // TASK_ROWS) or 1).persist()
     stages = [
         RegexTokenizer(inputCol="_folded", outputCol="_uni", pattern=r"[\p{L}\p{M}\p{Nd}_]{2,}", gaps=False),
         NGram(n=2, inputCol="_uni", outputCol="_bi"),
@@ -50,7 +55,6 @@ def fit_text_classifier(df: DataFrame, text: str, label: str, binary: bool = Fal
         idf = IDF(inputCol="_tf", outputCol="_idf").fit(counted)
         weigh = ElementwiseProduct(scalingVec=DenseVector(idf.idf.toArray() + 1.0), inputCol="_tf", outputCol="_tfidf")
         unit = Normalizer(inputCol="_tfidf", outputCol="features", p=2.0)
-        n = counted.count()
         lr = LogisticRegression(
             featuresCol="features", labelCol=label, weightCol="class_weight", standardization=False,
             regParam=1.0 / max(n, 1), family="binomial" if binary else "multinomial", maxIter=max_iter, tol=1e-4)
