@@ -17,8 +17,7 @@ from .registry import query, table
 from .util import join_hot, saved
 
 MOST_WORDS = 500_000      # words that get a number and are broadcast
-HOT_SHARE = 5_000         # a pair of words, each over such a part of all, is spread
-HOT_LEAST = 50_000        # and over so many
+HOT_LEAST = 50_000        # a word as common as a quarter of a shuffle partition, and so often, is hot
 BITS = 24                 # of a word's number
 UPPER = bytes(range(65, 91))
 # The bytes at which pieces end, and the tab that separates words like a space.
@@ -122,7 +121,8 @@ def numbered_windows(docs: DataFrame, words: pd.DataFrame, text_col: str, lang_c
 
 def spelled_windows(docs: DataFrame, words: pd.DataFrame, hot: int, text_col: str, lang_col: str) -> DataFrame:
     """(lang, w12, w3, w4, n, plain, hot): the windows of four words that hold a word without a
-    number, spelled out. ``plain`` counts the words before the first such word."""
+    number, spelled out. ``plain`` counts the words before the first such word; ``hot`` is 0, or 1 if
+    the first two words are hot, or 2 if the third is hot, too."""
     known = docs.sparkSession.sparkContext.broadcast((words["lang"].tolist(), [w.encode() for w in words["word"]]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -138,20 +138,27 @@ def spelled_windows(docs: DataFrame, words: pd.DataFrame, hot: int, text_col: st
                     number = tables.get(lang, none).__getitem__
                     for piece in words_of(text):
                         codes = list(map(number, piece))
+                        hots = [0 <= c < hot for c in codes] + [False]
                         for i in range(len(piece) - 1):
                             if -1 in codes[i:i + 4]:
                                 found[lang, piece[i] + b" " + piece[i + 1], *piece[i + 2:i + 4],
                                       *[None] * (i + 4 - len(piece)), codes.index(-1, i) - i,
-                                      max(codes[i:i + 2]) < hot and min(codes[i:i + 2]) >= 0] += 1
+                                      hots[i] and hots[i + 1] and 1 + hots[i + 2]] += 1
                 if found:
                     cols = list(zip(*found, strict=True))
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(cols[0], pa.string()), *[pa.array(c, pa.binary()).cast(pa.string()) for c in cols[1:4]],
-                         pa.array(list(found.values()), pa.int32()), pa.array(cols[4], pa.int32()), pa.array(cols[5], pa.bool_())],
+                         pa.array(list(found.values()), pa.int32()), pa.array(cols[4], pa.int32()), pa.array(map(int, cols[5]), pa.int32())],
                         names=["lang", "w12", "w3", "w4", "n", "plain", "hot"])
 
     return _source(docs, text_col, lang_col).mapInArrow(
-        run, "lang string, w12 string, w3 string, w4 string, n int, plain int, hot boolean")
+        run, "lang string, w12 string, w3 string, w4 string, n int, plain int, hot int")
+
+
+def _salt(hot: Column, three: list, four: list) -> Column:
+    """0, or a positive number for windows to spread by three words, or a negative one by four."""
+    number = lambda cols: F.xxhash64(*cols).bitwiseAND(2**62 - 1) + 1
+    return F.when(hot == 1, number(three)).when(hot == 2, -number(four)).otherwise(0)
 
 
 def prefix_sums(met: DataFrame, keys: list[str], least: int) -> DataFrame:
@@ -160,13 +167,13 @@ def prefix_sums(met: DataFrame, keys: list[str], least: int) -> DataFrame:
     ``met`` has the windows (keys for their first two words, w3, w4, null where padded, n, plain),
     dealt out by the keys and the salt ``_s``, so that windows with the same first words lie
     together. There they lose what follows a prefix too rare to be reported; what is left,
-    little, is summed by ROLLUP. Salted windows (``_s`` not 0) go on as they are.
+    little, is summed by ROLLUP. Under a salt above 0 only windows with the same three words lie
+    together, below 0 only equal ones: those are cut by their third word, or not at all.
     """
     third = Window.partitionBy(*keys, "_s", "w3")
     second = Window.partitionBy(*keys, "_s")
-    hot = F.col("_s") != 0
     kept = met.withColumn("_f3", F.sum("n").over(third)).withColumn("_f2", F.sum("n").over(second)).filter(
-        hot | (F.col("_f2") >= least)).withColumn("_go", hot | (F.col("_f3") >= least)).select(
+        (F.col("_s") != 0) | (F.col("_f2") >= least)).withColumn("_go", (F.col("_s") < 0) | (F.col("_f3") >= least)).select(
         *keys, F.when(F.col("_go"), F.col("w3")).alias("w3"), F.when(F.col("_go"), F.col("w4")).alias("w4"), "n", "plain")
     sums = kept.rollup(*keys, "w3", "w4").agg(
         F.sum("n").alias("f"), F.min("plain").alias("plain"), F.grouping(keys[-1]).alias("_g2"),
@@ -212,19 +219,21 @@ def phrase_counts(docs: DataFrame, least: int = 30, text_col: str = "text", lang
     words = numbered_words(counts, least, most_words)
     t = counts.agg(F.coalesce(F.sum("f"), F.lit(0)).alias("f"), F.count(F.when(F.col("f") >= least, 1)).alias("n")).first()
     # Numbers follow frequency, so hot words have the first ones.
-    hot = int((words["f"] >= max(t["f"] / HOT_SHARE, HOT_LEAST)).sum())
-    first, second = F.shiftright("w12", BITS), F.col("w12").bitwiseAND((1 << BITS) - 1)
-    salt = lambda is_hot, *cols: F.when(is_hot, F.xxhash64(*cols)).otherwise(0)
+    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hot = int((words["f"] >= max(t["f"] / (4 * partitions), HOT_LEAST)).sum())
+    mask = (1 << BITS) - 1
+    is_hot = [F.shiftright("w12", BITS) < hot, F.col("w12").bitwiseAND(mask) < hot, F.shiftright("w34", BITS).between(1, hot)]
     code = lambda c: F.when(c > 0, c - 1)
-    packed = numbered_windows(docs, words, text_col, lang_col).withColumn(
-        "_s", salt((first < hot) & (second < hot), "w12", "w34")).repartition("w12", "_s").select(
-        "w12", code(F.shiftright("w34", BITS)).alias("w3"), code(F.col("w34").bitwiseAND((1 << BITS) - 1)).alias("w4"),
+    packed = numbered_windows(docs, words, text_col, lang_col).withColumn("_s", _salt(
+        F.when(~(is_hot[0] & is_hot[1]), 0).when(is_hot[2], 2).otherwise(1), ["w12", F.shiftright("w34", BITS)], ["w12", "w34"])
+    ).repartition("w12", "_s").select(
+        "w12", code(F.shiftright("w34", BITS)).alias("w3"), code(F.col("w34").bitwiseAND(mask)).alias("w4"),
         "n", "_s", F.lit(0).alias("plain"))
     out = common.select("lang", F.col("word").alias("phrase"), F.lit(1).alias("size"), "f").unionByName(
         _spelled(prefix_sums(packed, ["w12"], least), words))
     if len(words) < t["n"]:
         open_ = spelled_windows(docs, words, hot, text_col, lang_col).withColumn(
-            "_s", salt(F.col("hot"), "w12", "w3", "w4")).repartition("lang", "w12", "_s")
+            "_s", _salt(F.col("hot"), ["w12", "w3"], ["w12", "w3", "w4"])).repartition("lang", "w12", "_s")
         sums = prefix_sums(open_, ["lang", "w12"], least).filter(F.col("plain") < F.col("size"))
         out = out.unionByName(sums.select("lang", F.concat_ws(" ", "w12", "w3", "w4").alias("phrase"), "size", "f"))
     return out
@@ -265,7 +274,9 @@ def collocations(docs: DataFrame, least: int = 30, keep_share: int = 80, top: in
     cuts = many.select("lang", "phrase", "f", "_words", "size", F.explode(F.sequence(F.lit(1), F.col("size") - 1)).alias("_k")).select(
         "lang", "phrase", "f", "_k", _words(F.lit(1), F.col("_k")).alias("_left"),
         _words(F.col("_k") + 1, F.col("size") - F.col("_k")).alias("_right"))
-    met = _with_counts(_with_counts(cuts, phrases, "_left", "l"), phrases, "_right", "r")
+    met = cuts
+    for part, name in (("_left", "l"), ("_right", "r")):
+        met = saved(_with_counts(met, phrases, part, name), "phrase-cuts")
     exact = "CAST(f AS DECIMAL(20,0)) * 2000000 div (CAST(l AS DECIMAL(20,0)) + CAST(r AS DECIMAL(20,0)))"
     best = met.groupBy("lang", "phrase", "f").agg(F.min(F.struct(F.expr(exact).alias("score"), "_k", "l", "r")).alias("_b"))
     inner = many.filter("size > 2").select("lang", "f", "_words", "size", F.explode(
@@ -273,9 +284,9 @@ def collocations(docs: DataFrame, least: int = 30, keep_share: int = 80, top: in
             F.sequence(F.lit(1), F.col("size") - F.col("_m") + 1)).alias("_i")).groupBy(
         "lang", _words(F.col("_i"), F.col("_m")).alias("phrase")).agg(F.max("f").alias("_longer"))
     big = lambda c, k: F.col(c).cast("decimal(20,0)") * k
-    kept = best.join(inner, ["lang", "phrase"], "left").filter(
+    kept = saved(best.join(inner, ["lang", "phrase"], "left").filter(
         F.col("_longer").isNull() | (big("_longer", 100) < big("f", keep_share))).select(
-        "lang", "phrase", F.col("f").alias("a"), "_b.l", "_b.r", "_b.score")
+        "lang", "phrase", F.col("f").alias("a"), "_b.l", "_b.r", "_b.score"), "phrases-kept")
     order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
     salted = Window.partitionBy("lang", "_s").orderBy(*order)
     some = kept.withColumn("_s", F.pmod(F.xxhash64("phrase"), F.lit(64))).withColumn(
@@ -290,7 +301,8 @@ def collocations(docs: DataFrame, least: int = 30, keep_share: int = 80, top: in
 WITH p AS (SELECT doc_id, coalesce(lang, 'und') AS lang,
        unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
               '[.,;:!?
--]')) AS piece FROM documents),
+-
+]')) AS piece FROM documents),
 q AS (SELECT lang, regexp_extract_all(piece, '[^ 	]+') AS w FROM p),
 i AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM q),
 g AS (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS f

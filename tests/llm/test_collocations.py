@@ -65,7 +65,7 @@ def made(seed=3):
 
 @pytest.mark.parametrize("most_words", [500_000, 6, 0])
 def test_against_brute_force(spark, most_words, monkeypatch):
-    monkeypatch.setattr(C, "HOT_LEAST", 500)            # "of the" is spread
+    monkeypatch.setattr(C, "HOT_LEAST", 500)            # "of the" and "of the of" are spread
     rows = made()
     df = spark.createDataFrame(rows, "text string, lang string").repartition(5)
     got = {(r.lang, *r.phrase.split(" ")): r.f for r in C.phrase_counts(df, 20, most_words=most_words).collect()}
