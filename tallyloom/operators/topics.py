@@ -116,7 +116,7 @@ def reduce_topics(df: DataFrame, topic: str, tokens: Column, k: int, name: str =
     """
     real = F.col(topic) >= 0 if isinstance(df.schema[topic].dataType, NumericType) else F.col(topic).isNotNull()
     tf = cut_lineage(class_terms(df.filter(real), topic, tokens))
-    ids = cut_lineage(tf.select("term").distinct().withColumn("id", F.monotonically_increasing_id()))
+    ids = cut_lineage(tf.select("term").distinct().withColumn("_tid", F.monotonically_increasing_id()))
     owners = cut_lineage(df.filter(real).groupBy(topic).agg(F.count(F.lit(1)).alias("n")).withColumn("_owner", F.col(topic)))
     left = owners.count()
     while left > k:
@@ -125,7 +125,7 @@ def reduce_topics(df: DataFrame, topic: str, tokens: Column, k: int, name: str =
         ranked = cut_lineage(dense_index(live.withColumn("_o", F.struct("n", "_owner")), "_o", "_r"))
         largest = ranked.orderBy(F.desc("n"), "_owner").first()["_owner"]
         words = tf.join(owners.select(topic, "_owner"), topic).groupBy("_owner", "term").agg(F.sum("tf").alias("tf"))
-        weights = ctfidf(words, "_owner").join(ids, "term").select("_owner", "id", F.col("score").alias("w"))
+        weights = ctfidf(words, "_owner").join(ids, "term").select("_owner", "_tid", F.col("score").alias("_w"))
         rows = cut_lineage(unit_rows(weights, "_owner"))
         small = ranked.filter(F.col("_r") < merged).select("_owner")
         into = top_matches(rows.join(small, "_owner", "left_anti").withColumnRenamed("_owner", "_into"), "_into",

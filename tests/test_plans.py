@@ -110,3 +110,18 @@ def test_peak_takes_first_year_on_ties(spark):
     df = spark.createDataFrame([("a", "2020-01-01"), ("a", "2021-01-01")], "c string, d string").withColumn(
         "d", F.col("d").cast("date"))
     assert A.peak_period(df, "d", "c").first()["peak_year"] == 2020
+
+
+@pytest.mark.parametrize("kind", ["int", "string", "date", "timestamp", "decimal(12,2)"])
+def test_ranges_of_any_type_without_sketches(spark, kind):
+    """Split points come from rows that tasks pick by hash; no task merges the sketches of others."""
+    base = spark.range(5000).select((F.col("id") % 1700).alias("v"))
+    v = {"date": F.date_add(F.lit("2020-01-01"), F.col("v").cast("int")), "timestamp": F.timestamp_seconds("v")}.get(kind, F.col("v").cast(kind))
+    df = base.select(v.alias("v")).groupBy("v").agg(F.count(F.lit(1)).alias("n"))
+    b = R.with_range(df, "v", df, 64)
+    sizes = [r["count"] for r in b.groupBy("_b").count().collect()]
+    assert sum(sizes) == 1700 and len(sizes) > 40 and max(sizes) < 150
+    run = R.running_totals(df, "v", ["n"], parts=64)
+    assert run.agg(F.max("n_run")).first()[0] == 5000
+    plan = run._jdf.queryExecution().executedPlan().toString()
+    assert "percentile" not in plan and "kll" not in plan and "TakeOrdered" not in plan
