@@ -99,7 +99,10 @@ def t13_density(spark, sf):
 
 @query("t13_k_sweep")
 def t13(spark, sf):
-    return CL.k_sweep(table(spark, sf, "embeddings").select("vec_id", "embedding"), "embedding", K_GRID)
+    """Numbers of topics; words of the document with the vector's id."""
+    words = table(spark, sf, "documents").select(F.col("doc_id").alias("vec_id"), "text")
+    v = table(spark, sf, "embeddings").select("vec_id", "embedding").join(words, "vec_id", "left")
+    return CL.k_sweep(v, "embedding", K_GRID, tokens=X.word_tokens(F.col("text"), K.ENGLISH_STOP))
 
 
 @query("t17_fit_lda")

@@ -8,7 +8,7 @@ from pyspark.ml import Pipeline
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import IDF, PCA, HashingTF, Normalizer, RegexTokenizer, StopWordsRemover
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import constants as K
@@ -37,25 +37,30 @@ def embed_documents(df: DataFrame, text: str = "text", features: int = 512, dims
         "_tok", "_kept", "_tf", "_idf", "_pca", "embedding_vector")
 
 
-def evaluate_variant(df: DataFrame, topic: str, vec: str, tag: str) -> dict:
-    """One row of quality measures for a labelling."""
+def evaluate_variant(df: DataFrame, topic: str, vec: str, tag: str, tokens: Column | None = None) -> dict:
+    """One row of quality measures for a labelling; with ``tokens``, also the share of distinct words
+    among the ten best of each topic."""
     from .aggregates import topic_health
     h = topic_health(df, topic).first()
     c = T.cohesion_separation(df, topic, vec).first()
     s = T.silhouette(df, topic, vec)
+    d = None
+    if tokens is not None:
+        d = T.topic_diversity(T.top_terms(T.ctfidf(T.class_terms(df, topic, tokens), topic), topic, 10), topic, 10).first()[0]
     r = lambda x: None if x is None else round(float(x), 4)
-    return {"variant": tag, "topics": h["n_topics"], "outlier_rate": r(h["outlier_rate"]), "cohesion": r(c["cohesion"]),
-            "separation": r(c["separation"]), "silhouette": r(s)}
+    return {"variant": tag, "topics": h["n_topics"], "outlier_rate": r(h["outlier_rate"]), "tiny_topic_share": r(h["tiny_topic_share"]),
+            "diversity": r(d), "cohesion": r(c["cohesion"]), "separation": r(c["separation"]), "silhouette": r(s)}
 
 
-def k_sweep(df: DataFrame, vec: str, ks: Sequence[int], seed: int = 42) -> DataFrame:
+def k_sweep(df: DataFrame, vec: str, ks: Sequence[int], seed: int = 42, tokens: Column | None = None) -> DataFrame:
     """One fit and one row of measures per k over a persisted input."""
     rows, src = [], df.withColumn("features", array_to_vector(F.col(vec).cast("array<double>"))).persist()
     try:
         for k in ks:
             model = KMeans(k=k, seed=seed, distanceMeasure="cosine", predictionCol="_topic").fit(src)
-            rows.append(evaluate_variant(model.transform(src), "_topic", vec, f"K={k}"))
+            rows.append(evaluate_variant(model.transform(src), "_topic", vec, f"K={k}", tokens))
     finally:
         src.unpersist()
     return df.sparkSession.createDataFrame(
-        rows, "variant string, topics long, outlier_rate double, cohesion double, separation double, silhouette double")
+        rows, "variant string, topics long, outlier_rate double, tiny_topic_share double, diversity double, cohesion double, "
+              "separation double, silhouette double")

@@ -68,7 +68,7 @@ def test_fits_have_the_settings_of_the_scripts(spark, monkeypatch):
     from tallyloom.catalog import topics_fitted as TF
     monkeypatch.setattr(TF, "fitted", lambda *a: (type("V", (), {"vocabulary": []}), None, None))
     monkeypatch.setattr(TF.L, "lda_grid", lambda bow, key, tokens, vocab, ks, passes=6, seed=42, topn=20: (ks, passes, topn))
-    monkeypatch.setattr(TF.CL, "k_sweep", lambda df, vec, ks, seed=42: ks)
+    monkeypatch.setattr(TF.CL, "k_sweep", lambda df, vec, ks, seed=42, tokens=None: ks)
     assert QUERIES["t20_lda_grid"](spark, SMALL) == ([15, 20, 25, 30, 35, 40], 6, 20)
     assert {25, 30} <= set(QUERIES["t13_k_sweep"](spark, SMALL))
     assert len(QUERIES["t01_embed_documents"](spark, SMALL).groupBy("pos").count().collect()) == 32
