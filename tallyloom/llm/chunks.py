@@ -114,7 +114,9 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     found = saved(chunk_table(docs, id_col, text_col), "chunks", 1000)
     first = found.groupBy("h1", "h2").agg(
         F.min("id").alias("first"), F.max("id").alias("last"), F.count("id").alias("ids"), F.count(F.lit(1)).alias("w"))
-    shared = first.filter((F.col("first") < F.col("last")) | ((F.col("ids") > 0) & (F.col("ids") < F.col("w")))).select("h1", "h2", "first", "w")
+    # Few of all chunks; written, so that all of them are counted once.
+    shared = saved(first.filter((F.col("first") < F.col("last")) | ((F.col("ids") > 0) & (F.col("ids") < F.col("w")))).select(
+        "h1", "h2", "first", "w"), "shared-chunks")
     again = join_hot(found, shared, ["h1", "h2"], "w").filter(~F.col("id").eqNullSafe(F.col("first")))
     per = again.groupBy("id", "row").agg(F.sort_array(F.collect_set(F.struct("start", (F.col("start") + F.col("size")).alias("end")))).alias("c"))
     opens = F.filter("c", lambda x, i: (i == 0) | (F.get(F.col("c"), i - 1).end != x.start)).alias("a")
