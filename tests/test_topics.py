@@ -147,13 +147,6 @@ def test_jsd(spark):
     assert got == pytest.approx(np.mean(d))
 
 
-def test_merge_plan():
-    g = {("a", "a"): 1.0, ("b", "b"): 1.0, ("c", "c"): 1.0, ("a", "b"): .9, ("b", "a"): .9, ("a", "c"): .1,
-         ("c", "a"): .1, ("b", "c"): .2, ("c", "b"): .2}
-    assert T.merge_plan(g, {"a": 1, "b": 5, "c": 9}, 2) == {"a": "b", "b": "b", "c": "c"}
-    assert set(T.merge_plan(g, {"a": 1, "b": 5, "c": 9}, 1).values()) == {"c"}
-
-
 def test_phrases_fall_back_to_terms(spark):
     df = spark.createDataFrame([(1, 0, ["a", "b", "c"]), (2, 0, ["a", "b", "c"]), (3, 0, ["x"]), (4, 1, ["solo"])],
                                "id int, topic int, t array<string>")
