@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from itertools import combinations
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,10 +35,6 @@ def _tagged(shingles: str) -> Column:
     return F.transform(s, lambda h, i: F.xxhash64(h, i + 1 - F.array_position(s, h)))
 
 
-def _masks(bits: int, radius: int) -> list[int]:
-    return [sum(1 << b for b in c) for r in range(radius + 1) for c in combinations(range(bits), r)]
-
-
 def _block(fp: str, k: int) -> Column:
     return F.shiftrightunsigned(F.col(fp), BLOCK_BITS * k).bitwiseAND((1 << BLOCK_BITS) - 1).cast("int")
 
@@ -141,15 +135,16 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
         c = F.when(F.col("k") == k, _shingles("h", k))
         sh = c if sh is None else F.coalesce(sh, c)
     distinct = saved(distinct.select("wkey", "weight", "k", sh.alias("sh")), "shingled")
-    fps = simhash(distinct.filter(F.size("sh") > 0), "wkey", "sh", ["k"])
-    item_fps = simhash(it, "ik", "sh", ["k"])
+    # Saved, so that plans that use a fingerprint do not carry the tree of its 64 bits.
+    fps = saved(simhash(distinct.filter(F.size("sh") > 0), "wkey", "sh", ["k"]), "window-prints")
+    item_fps = saved(simhash(it, "ik", "sh", ["k"]), "item-prints")
 
     # --- multi-index search: a pair counts where its first near block is
     near = radius // BLOCKS
-    masks = F.array(*[F.lit(m) for m in _masks(BLOCK_BITS, near)])
+    masks = spark.range(1 << BLOCK_BITS).filter(F.bit_count("id") <= near).agg(F.collect_list(F.col("id").cast("int"))).scalar()
     index = item_fps.select("ik", "k", F.col("fp").alias("ifp"), F.posexplode(
-        F.array(*[_block("fp", b) for b in range(BLOCKS)])).alias("b", "v")).select(
-        "ik", "k", "ifp", "b", F.explode(F.transform(masks, lambda m: F.col("v").bitwiseXOR(m))).alias("v"))
+        F.array(*[_block("fp", b) for b in range(BLOCKS)])).alias("b", "v")).withColumn("m", F.explode(masks)).select(
+        "ik", "k", "ifp", "b", F.col("v").bitwiseXOR(F.col("m")).alias("v"))
     probe = fps.select("wkey", "k", "fp", F.posexplode(F.array(*[_block("fp", b) for b in range(BLOCKS)])).alias("b", "v"))
     xor = F.col("fp").bitwiseXOR(F.col("ifp"))
     first_near = F.lit(BLOCKS)
@@ -158,6 +153,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
     # The index is 2,517 x 4 rows an item; a merge join keeps it off the driver.
     found = probe.join(index.hint("merge"), ["k", "b", "v"]).filter((F.bit_count(xor) <= radius) & (first_near == F.col("b"))).select(
         "wkey", "ik", F.bit_count(xor).alias("distance"))
+    found = saved(found, "near-prints")
 
     # --- exact check of what was found
     ws = distinct.select("wkey", "weight", F.size("sh").alias("wn"), _tagged("sh").alias("wt"))
