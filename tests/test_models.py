@@ -71,3 +71,26 @@ def test_novelty_and_median_label(spark):
     assert [r[0] for r in df.select(M.novelty(F.col("a"), F.col("b"), F.col("c"))).collect()] == [30.0, 10.0]
     v = spark.createDataFrame([(float(x),) for x in (1, 2, 3, 4)], "s double")
     assert [r["label"] for r in M.above_median(v, "s").orderBy("s").collect()] == [0, 0, 1, 1]
+
+
+@pytest.mark.parametrize("classes", [2, 3])
+def test_text_classifier_reaches_the_minimum_in_few_passes(spark, classes):
+    """Rare terms next to common ones; the gradient of the stated sum is all but gone after 60 passes."""
+    rng = np.random.default_rng(classes)
+    words = np.minimum(rng.zipf(1.3, (300, 30)), 400)
+    y = (words.sum(1) + rng.integers(0, 200, 300)) % classes
+    rows = [(int(c), " ".join(f"w{i}" for i in r)) for c, r in zip(y, words)] + [(0, "none")]
+    df = spark.createDataFrame(rows, "y int, text string")
+    m = M.fit_text_classifier(df, "text", "y", binary=classes == 2, min_df=2, max_df=0.95, max_iter=60)
+    got = m.transform(M.fold_text(df, "text")).select("y", "features", "probability").collect()
+    x, label = np.array([r.features.toArray() for r in got]), np.array([r.y for r in got])
+    p = np.array([r.probability.toArray() for r in got])
+    weight = len(label) / (classes * np.bincount(label))[label]
+    hit = np.eye(classes)[label]
+    lr = m.stages[-1]
+    coef = lr.coefficientMatrix.toArray()
+    pull = lambda q: ((weight[:, None] * (q - hit)).T @ x / weight.sum())[-len(coef):]
+    left = pull(p) + coef / len(label)
+    assert np.linalg.norm(left) < 1e-3 * np.linalg.norm(pull(np.full_like(p, 1 / classes)))
+    free = weight @ (p - hit) / weight.sum()
+    assert np.abs(free).max() < 1e-3
