@@ -173,3 +173,19 @@ def test_nearest_centroid_keeps_large_ids_and_zero_vectors(spark):
     for k in (1, 4096):
         got = {r.id: r.best for r in O.nearest_centroid(df, "id", "v", cents, "topic", driver_topics=k).collect()}
         assert got == {1: 3_000_000_000, 2: 5}
+
+
+def test_lda_rows_lie_in_a_task_per_core_and_are_kept(spark, monkeypatch):
+    """A task hands on a whole table of topics and terms, so their number must not follow the shuffle partitions."""
+    df = spark.createDataFrame([(i, ["a", "b"] if i % 2 else ["c", "d", "c"]) for i in range(40)], "id int, t array<string>")
+    cv, bow = L.bag_of_words(df, "id", "t", 2, 0.9)
+    assert sorted(cv.vocabulary) == ["a", "b", "c", "d"]
+    seen = []
+    monkeypatch.setattr(L.LDA, "fit", lambda self, rows: seen.append((rows.rdd.getNumPartitions(), rows.storageLevel.useMemory)))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", 997)
+    try:
+        L.fit_lda(bow, "id", 2)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert seen[0][0] <= spark.sparkContext.defaultParallelism and seen[0][1]
