@@ -94,3 +94,22 @@ def test_text_classifier_reaches_the_minimum_in_few_passes(spark, classes):
     assert np.linalg.norm(left) < 1e-3 * np.linalg.norm(pull(np.full_like(p, 1 / classes)))
     free = weight @ (p - hit) / weight.sum()
     assert np.abs(free).max() < 1e-3
+
+
+def test_numeric_classifier_sees_equal_rows_once(spark, monkeypatch):
+    """Same coefficients as row by row, from as many rows as there are distinct ones."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import StandardScaler, VectorAssembler
+    rng = np.random.default_rng(4)
+    a, b = rng.integers(0, 5, 3000), rng.integers(0, 3, 3000)
+    y = (a + b + rng.integers(0, 4, 3000) > 4).astype(int)
+    df = spark.createDataFrame(pd.DataFrame({"a": a.astype(float), "b": b.astype(float), "z": 0.0, "y": y}))
+    args = dict(featuresCol="features", labelCol="y", standardization=False, regParam=1 / 3000, maxIter=1000, tol=1e-10)
+    want = Pipeline(stages=[VectorAssembler(inputCols=["a", "b", "z"], outputCol="_raw"), StandardScaler(
+        inputCol="_raw", outputCol="features", withMean=False, withStd=True), M.LogisticRegression(**args)]).fit(df)
+    seen, fit = [], Pipeline.fit
+    monkeypatch.setattr(Pipeline, "fit", lambda self, rows: seen.append(rows.count()) or fit(self, rows))
+    got = M.fit_numeric_classifier(df, ["a", "b", "z"], "y")
+    assert seen[0] <= 30
+    assert np.allclose(got.stages[-1].coefficients, want.stages[-1].coefficients, atol=1e-2)
+    assert got.stages[-1].intercept == pytest.approx(want.stages[-1].intercept, abs=1e-2)
