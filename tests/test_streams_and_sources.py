@@ -1,5 +1,7 @@
 """Streams equal batches; tables survive the sinks."""
 
+import shutil
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -72,3 +74,15 @@ def test_csv_is_read_by_its_header(spark, tmp_path):
     (folder / "2.csv").write_text("b,a\n3,4\n")
     with pytest.raises(Exception):
         S.read_inventory(spark, str(folder), ["a", "b"], fmt="csv").collect()
+
+
+@pytest.mark.parametrize("parts", [0, 3])
+def test_streams_read_a_table_of_one_file_or_many(spark, tmp_path, parts):
+    """``parts`` files in a folder of the table's name, or the file itself."""
+    from tallyloom.catalog.streams import r01
+    source = f"{SMALL}/events.parquet"
+    if parts:
+        spark.read.parquet(source).repartition(parts).write.parquet(f"{tmp_path}/events.parquet")
+    else:
+        shutil.copy(source, tmp_path)
+    assert r01(spark, str(tmp_path)).count() == spark.read.parquet(source).count()
