@@ -100,6 +100,26 @@ def test_missing_topic_is_no_nan(spark):
     assert got == [pytest.approx(9 / 15 * 100), pytest.approx(40.0), pytest.approx(40.0)]
 
 
+def test_keyword_level_is_that_of_the_patterns(spark, capsys):
+    """Words are searched before patterns, and the lower-cased text is made once, not once per level."""
+    def plain(c):
+        out = F.lit(2)
+        for k in sorted(S.K.LEVEL_PATTERNS):
+            out = F.when(F.lower(c).rlike("(?iU)" + "|".join(S.K.LEVEL_PATTERNS[k])), k).otherwise(out)
+        return out
+
+    values = ["a storage", "PLATFORM", "a form.", "reformed", "faqs", "my FAQ", "reports", "entity linkage", "entity x", "classifying",
+              "classified", "\u017fimulation", "r\u0131sk model", "loo\u212aup", "R\u0130SK MODEL", "emails", "an email", None]
+    df = spark.createDataFrame([(v,) for v in values], "c string").select(
+        "c", S.keyword_level(F.col("c")).alias("got"), plain(F.col("c")).alias("want"))
+    assert [r for r in df.collect() if r.got != r.want] == []
+    own = {4: [r"colou?r", r"x|y"], 3: ["data sets?"]}
+    got = run(spark, lambda c: S.keyword_level(c, own), ["Color", "COLOUR", "a y", "data set", "date"])
+    assert got == [4, 4, 4, 3, 2]
+    df.select(S.keyword_level(F.col("c")).alias("k")).explain()
+    assert capsys.readouterr().out.count("lower(") == 1
+
+
 texts = st.lists(st.one_of(st.none(), st.text(max_size=30)), min_size=1, max_size=60)
 
 
