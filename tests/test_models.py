@@ -66,6 +66,28 @@ def test_text_classifier_learns(spark):
     assert set(top.term) <= {"alpha", "beta", "gamma", "alpha beta", "beta gamma"}
 
 
+def test_models_of_the_same_rows_count_words_once(spark, monkeypatch):
+    rows = [(f"{a} {b}", i % 2, i % 3) for i, (a, b) in enumerate([("alpha", "beta"), ("beta", "gamma"), ("gamma", "alpha")] * 20)]
+    df = spark.createDataFrame(rows, "text string, y int, z int")
+    first, want = (M.fit_text_classifier(df, "text", c, min_df=2, max_df=0.99) for c in "yz")
+    monkeypatch.setattr(M.CountVectorizer, "fit", None)
+    got = M.fit_text_classifier(df, "text", "z", min_df=2, max_df=0.99, same_rows=first)
+    at = lambda m: {(r["class"], r["term"]): r["coefficient"] for r in M.top_coefficients(m, spark, 9).collect()}
+    assert at(got) == pytest.approx(at(want), abs=1e-6)
+
+
+def test_complexity_scores_are_made_once(spark, monkeypatch, capsys):
+    """The median and the labels come from written scores, not from the texts again."""
+    from tallyloom.catalog import models as C
+    seen, median = [], M.above_median
+    monkeypatch.setattr(M, "above_median", lambda df, *a: seen.append(df) or median(df, *a))
+    monkeypatch.setattr(M, "fit_numeric_classifier", lambda *a: None)
+    monkeypatch.setattr(C, "_MODELS", {})
+    C.fitted(spark, "/root/testdata/sf0.001", "complexity")
+    seen[0].explain()
+    assert "parquet" not in capsys.readouterr().out
+
+
 def test_novelty_and_median_label(spark):
     df = spark.createDataFrame([(60.0, None, 70.0), (10.0, 90.0, 20.0)], "a double, b double, c double")
     assert [r[0] for r in df.select(M.novelty(F.col("a"), F.col("b"), F.col("c"))).collect()] == [30.0, 10.0]
