@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import Pipeline
+from pyspark import StorageLevel
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import IDF, PCA, HashingTF, Normalizer, RegexTokenizer, StopWordsRemover
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -32,7 +33,13 @@ def embedding_pipeline(text: str = "text", features: int = 512, dims: int = 32,
 def embed_documents(df: DataFrame, text: str = "text", features: int = 512, dims: int = 32) -> DataFrame:
     """Adds ``embedding``; pass vectors of your own to the other operators instead if
     you have a better encoder."""
-    model = embedding_pipeline(text, features, dims).fit(df)
+    stages = embedding_pipeline(text, features, dims).getStages()
+    head = PipelineModel(stages[:3])        # nothing to fit
+    counted = head.transform(df).select("_tf").persist(StorageLevel.MEMORY_AND_DISK)     # the fits read it, not the texts
+    try:
+        model = PipelineModel([head, *Pipeline(stages=stages[3:]).fit(counted).stages])
+    finally:
+        counted.unpersist()
     return model.transform(df).withColumn("embedding", vector_to_array("embedding_vector")).drop(
         "_tok", "_kept", "_tf", "_idf", "_pca", "embedding_vector")
 

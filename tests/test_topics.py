@@ -189,3 +189,16 @@ def test_lda_rows_lie_in_a_task_per_core_and_are_kept(spark, monkeypatch):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
     assert seen[0][0] <= spark.sparkContext.defaultParallelism and seen[0][1]
+
+
+def test_embedding_is_fitted_on_counted_words(spark, monkeypatch):
+    """Same vectors as one pipeline gives; the fits do not see the texts."""
+    from tallyloom.operators import clusters as CL
+    df = spark.createDataFrame([(i, d) for i, d in enumerate(DOCS)] + [(99, "")], "id int, text string")
+    want = {r.id: r.v for r in CL.embedding_pipeline("text", 16, 3).fit(df).transform(df).select(
+        "id", CL.vector_to_array("embedding_vector").alias("v")).collect()}
+    seen, fit = [], CL.PCA.fit
+    monkeypatch.setattr(CL.PCA, "fit", lambda self, rows: seen.append(rows.columns) or fit(self, rows))
+    got = {r.id: r.embedding for r in CL.embed_documents(df, "text", 16, 3).collect()}
+    assert "text" not in seen[0]
+    assert got.keys() == want.keys() and all(np.allclose(got[i], want[i], atol=1e-9) for i in got)
