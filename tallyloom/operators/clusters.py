@@ -60,12 +60,14 @@ def evaluate_variant(df: DataFrame, topic: str, vec: str, tag: str, tokens: Colu
 
 
 def k_sweep(df: DataFrame, vec: str, ks: Sequence[int], seed: int = 42, tokens: Column | None = None) -> DataFrame:
-    """One fit and one row of measures per k over a persisted input."""
-    rows, src = [], df.withColumn("features", array_to_vector(F.col(vec).cast("array<double>"))).persist()
+    """One fit and one row of measures per k over a persisted input, its words cut once."""
+    words = {} if tokens is None else {"_words": tokens}
+    rows, src = [], df.select(vec, *[c.alias(n) for n, c in {
+        "features": array_to_vector(F.col(vec).cast("array<double>")), **words}.items()]).persist()
     try:
         for k in ks:
             model = KMeans(k=k, seed=seed, distanceMeasure="cosine", predictionCol="_topic").fit(src)
-            rows.append(evaluate_variant(model.transform(src), "_topic", vec, f"K={k}", tokens))
+            rows.append(evaluate_variant(model.transform(src), "_topic", vec, f"K={k}", F.col("_words") if words else None))
     finally:
         src.unpersist()
     return df.sparkSession.createDataFrame(

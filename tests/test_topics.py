@@ -202,3 +202,14 @@ def test_embedding_is_fitted_on_counted_words(spark, monkeypatch):
     got = {r.id: r.embedding for r in CL.embed_documents(df, "text", 16, 3).collect()}
     assert "text" not in seen[0]
     assert got.keys() == want.keys() and all(np.allclose(got[i], want[i], atol=1e-9) for i in got)
+
+
+def test_k_sweep_cuts_words_once(spark, monkeypatch):
+    from tallyloom.operators import clusters as CL
+    df = spark.createDataFrame([(i, [float(i % 2), 1.0 - i % 2], "aa bb" if i % 2 else "cc cc") for i in range(8)],
+                               "id int, v array<double>, text string")
+    seen, measure = [], CL.evaluate_variant
+    monkeypatch.setattr(CL, "evaluate_variant", lambda rows, *a: seen.append(rows.columns) or measure(rows, *a))
+    got = CL.k_sweep(df, "v", [2], tokens=F.split("text", " ")).first()
+    assert (got.topics, got.diversity) == (2, 0.15)
+    assert "text" not in seen[0]
