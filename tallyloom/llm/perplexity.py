@@ -13,12 +13,14 @@ from pyspark.sql import functions as F
 
 from .lookup import Table
 from .registry import query, table
-from .util import join_hot, saved
+from .util import digest, join_hot, saved
 
 ORDER, BITS = 5, 12              # an n-gram of 5 symbols of 12 bits is one long
 BEGIN, END, OTHER, FIRST = 1, 2, 3, 4
 CHUNK = 1_000_000                # characters worked on at once
 LOW, HIGH = (0.001, 0.005, 0.01), (0.98, 0.985, 0.99, 0.995)  # shares of good rows below a bound
+MOST_GRAMS = 8_000_000           # n-grams of all orders that are broadcast; a larger model is joined
+MOST_IDS = 5_000_000             # trusted ids that are broadcast, so that texts stay; with more, drawn texts move once
 MOST_LANGS = 10_000              # languages whose bounds are broadcast; more meet theirs in a shuffle
 
 
@@ -30,6 +32,7 @@ class Model:
     p: list[tuple[np.ndarray, np.ndarray]]     # per order: keys, log10 p
     rest: list[tuple[np.ndarray, np.ndarray]]  # per order: context keys, log10 gamma
     unseen: float                              # log10 p of a symbol never seen
+    tables: list[tuple[DataFrame, DataFrame]] | None = None  # per order (g, p) and (x, gamma), in place of p and rest
 
 
 def _mask(k: int) -> int:
@@ -96,8 +99,7 @@ def fit(trusted: DataFrame, text_col: str = "text") -> Model:
     Order-5 counts are combined within tasks before they are shuffled by n-gram; lower
     orders count the distinct symbols seen before an n-gram. Each order's counts meet their
     context's totals and the next lower order's probabilities in joins on n-gram hashes.
-    Only the finished table leaves Spark; its size is bounded by the characters of
-    ``trusted`` (at most one entry each and order), which the caller bounds.
+    Only a finished table of up to MOST_GRAMS n-grams leaves Spark; a larger one stays a table.
     """
     src = trusted.select(F.coalesce(F.col(text_col), F.lit("")).alias("t"))
 
@@ -124,8 +126,9 @@ def fit(trusted: DataFrame, text_col: str = "text") -> Model:
     for k in range(ORDER - 1, 0, -1):
         counts[k] = saved(counts[k + 1].groupBy(F.col("g").bitwiseAND(F.lit(_mask(k))).alias("g")).agg(
             F.count(F.lit(1)).alias("c")), "ngrams")
+    joined = sum(c.count() for c in counts.values()) > MOST_GRAMS
     vocabulary, unseen = symbols.size + 2, 0.0
-    p, rest, below = [], [], None
+    p, rest, tables, below = [], [], [], None
     for k in range(1, ORDER + 1):
         d1, d2, d3 = _discounts(counts[k])
         c = counts[k].select("g", "c", F.shiftright("g", BITS).alias("x"), F.col("g").bitwiseAND(F.lit(_mask(k - 1))).alias("low"),
@@ -138,13 +141,17 @@ def fit(trusted: DataFrame, text_col: str = "text") -> Model:
             row = row.join(below.select(F.col("g").alias("low"), F.col("p").alias("under")), "low")
         below = saved(row.select("g", ((F.col("c") - F.col("d")) / F.col("total") + F.col("gamma") * F.col("under")).alias("p")),
                       "probabilities")
-        got, ctx = below.toArrow(), left.select("x", "gamma").toArrow()
+        left = left.select("x", "gamma")
+        if k == 1:
+            first = left.first()
+            unseen = log10((first.gamma if first else 1.0) / (vocabulary + 1))
+        if joined:
+            tables.append((below, saved(left, "contexts")))
+            continue
+        got, ctx = below.toArrow(), left.toArrow()
         p.append((got["g"].to_numpy(), np.log10(got["p"].to_numpy()).astype(np.float32)))
         rest.append((ctx["x"].to_numpy(), np.log10(ctx["gamma"].to_numpy()).astype(np.float32)))
-        if k == 1:
-            gamma = float(ctx["gamma"][0].as_py()) if ctx.num_rows else 1.0
-            unseen = log10(gamma / (vocabulary + 1))
-    return Model(symbols, p, rest, unseen)
+    return Model(symbols, p, rest, unseen, tables or None)
 
 
 class Scorer:
@@ -171,7 +178,10 @@ class Scorer:
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """Adds ``perplexity`` per character (null for null or empty text); rows stay where they are."""
+    """Adds ``perplexity`` per character (null for null or empty text); rows stay where they are,
+    unless the model is a table (see score_joined)."""
+    if model is not None and model.tables:
+        return score_joined(docs, model, text_col)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     keep = [c for c in docs.columns if c != "perplexity"]
     src = docs.select(*keep, F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
@@ -189,6 +199,46 @@ def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     return src.mapInArrow(run, f"{schema}, perplexity double")
 
 
+def score_joined(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """As score(), for a model of any size: each text's distinct n-grams, counted, meet their
+    probabilities in joins. Equal texts are scored once; texts that are equal or n-grams that are
+    common are no hot keys (join_hot), and a k-gram is looked up by its context and its last
+    k - 1 symbols, of which each has at most one row per symbol."""
+    keep = [c for c in docs.columns if c != "perplexity"]
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    own = docs.select(*keep, digest(text).alias("_d"))
+    symbols = docs.sparkSession.sparkContext.broadcast(model.symbols)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        to = symbol_map(symbols.value)
+        for b in batches:
+            for first, texts in chunks(b.column(1).to_pylist()):
+                keys, _, size = grams(texts, to)
+                row = np.repeat(np.arange(first, first + len(texts)), size)
+                order = np.lexsort((keys[-1], row))
+                g, row = keys[-1][order], row[order]
+                at = np.flatnonzero(np.concatenate([[True], (g[1:] != g[:-1]) | (row[1:] != row[:-1])]))
+                n = np.diff(np.append(at, g.size))
+                yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(row[at])), pa.array(g[at]), pa.array(n)], names=["d", "g", "n"])
+
+    texts = docs.select(digest(text).alias("d"), text.alias("t")).filter("t <> ''")
+    found = saved(texts.mapInArrow(count, "d binary, g long, n long").groupBy("d", "g").agg(F.max("n").alias("n")), "text-ngrams", 1000)
+    values = None
+    for k in range(1, ORDER + 1):
+        p, rest = model.tables[k - 1]
+        row = found.groupBy(F.col("g").bitwiseAND(F.lit(_mask(k))).alias("g")).agg(F.count(F.lit(1)).alias("w")).join(p, "g", "left")
+        under = F.lit(model.unseen)
+        if values is not None:
+            row = row.withColumn("x", F.shiftright("g", BITS)).join(rest, "x", "left").withColumn(
+                "low", F.col("g").bitwiseAND(F.lit(_mask(k - 1)))).join(values.select(F.col("g").alias("low"), F.col("lp").alias("under")), "low")
+            under = F.coalesce(F.log10("gamma"), F.lit(0.0)) + F.col("under")
+        values = saved(row.select("g", "w", F.coalesce(F.log10("p"), under).alias("lp")), "n-gram-values")
+    total = join_hot(found, values, ["g"], "w").groupBy("d").agg(
+        F.pow(F.lit(10.0), -F.sum(F.col("n") * F.col("lp")) / F.sum("n")).alias("perplexity"))
+    total = saved(total.withColumnRenamed("d", "_d").join(own.groupBy("_d").agg(F.count(F.lit(1)).alias("_w")), "_d", "right"), "perplexities")
+    return join_hot(own, total, ["_d"], "_w").select(*keep, "perplexity")
+
+
 @dataclass
 class Classifier:
     model: Model
@@ -209,22 +259,26 @@ def levels(below: list[int], above: list[int], n: int, least: int = 20) -> tuple
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-          sample_chars: int = 30_000_000, least_rows: int = 200, bad: DataFrame | None = None) -> tuple[Classifier, DataFrame]:
+          sample_chars: int | None = None, least_rows: int = 200, bad: DataFrame | None = None) -> tuple[Classifier, DataFrame]:
     """A classifier, and (id, lang, perplexity) of every row of ``docs``.
 
-    ``labels`` has the ids of trusted documents. The model is fitted on those whose id hash
-    falls below a share: as much as ``sample_chars`` characters need, at most 80 %. All
-    documents are scored. A language's bounds are quantiles of the perplexities of all its
-    trusted documents outside the sample; which of LOW and HIGH, or none below, is taken from the ids
+    ``labels`` has the ids of trusted documents. The model is fitted on all those whose id hash
+    falls below 80 % (a caller may ask for a smaller share, of some ``sample_chars`` characters). All
+    documents are scored. A language's bounds are quantiles of the perplexities of all its other
+    trusted documents, as those that taught the model look too good to it; which of LOW and HIGH, or none below, is taken from the ids
     in ``bad``, each judged in its own language (see levels()). Languages with fewer than ``least_rows`` of them,
     and null, have the bounds of all together. Languages without trusted documents are not bounded. Trusted ids without a document do not matter; null ids are not trusted.
     """
     ids = labels.select(F.col(id_col).alias("_id")).distinct()
     d = docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
-    chars = d.select("id", F.length("text").alias("n")).join(ids, F.col("id") == F.col("_id")).agg(F.sum("n").alias("n")).first().n or 0
-    share = min(0.8, sample_chars / max(chars, 1))
+    share = 0.8
+    if sample_chars is not None:
+        chars = d.select("id", F.length("text").alias("n")).join(ids, F.col("id") == F.col("_id")).agg(F.sum("n").alias("n")).first().n or 0
+        share = min(share, sample_chars / max(chars, 1))
     drawn = _unit("id", 3) < share
-    model = fit(d.filter(drawn).select("id", "text").join(ids, F.col("id") == F.col("_id"), "left_semi"))
+    texts, same = d.filter(drawn).select("id", "text"), F.col("id") == F.col("_id")
+    few = ids.count() <= MOST_IDS
+    model = fit(texts.join(F.broadcast(ids), same, "left_semi") if few else saved(texts.join(ids, same, "left_semi"), "trusted"))
     scores = saved(score(d, model).select("id", "lang", "perplexity"), "perplexities")
     good = scores.filter(F.col("perplexity").isNotNull()).join(ids, F.col("id") == F.col("_id"), "left_semi")
     own = F.when(~drawn, F.col("perplexity"))

@@ -135,3 +135,30 @@ def test_rows(spark):
     # nothing trusted: whatever has text stays
     assert X.keep_good(docs, labels.limit(0)).count() == len(rows) - 2
     assert X.keep_good(docs.limit(0), labels).count() == 0
+
+
+def test_every_trusted_text_outside_the_bounds_teaches(spark, monkeypatch):
+    docs = spark.range(2000).select(F.col("id").alias("doc_id"), F.repeat(F.lit("t"), 50_000).alias("text"), F.lit("en").alias("lang"))
+    taught = []
+    monkeypatch.setattr(X, "fit", lambda d: taught.append(d.count()))
+    monkeypatch.setattr(X, "score", lambda d, m: d.withColumn("perplexity", F.lit(3.0)))
+    X.train(docs, docs.select("doc_id"))
+    monkeypatch.setattr(X, "MOST_IDS", 10)
+    X.train(docs, docs.select("doc_id"))
+    assert taught == [docs.filter(X._unit("doc_id", 3) < 0.8).count()] * 2 and taught[0] > 1500
+
+
+def test_a_model_of_any_size_scores_alike(spark, monkeypatch):
+    rng = random.Random(7)
+    texts = ["".join(rng.choice("aab cd") for _ in range(rng.randrange(1, 60))) for _ in range(25)] + ["é😀é"]
+    scored = [*texts[:6], "zzz", "a", "dd dd abz", "😀😀", "abc" * 50, texts[0], texts[0], "", None]
+    docs = spark.createDataFrame(list(enumerate(scored)), "id long, text string").withColumn("d", F.lit(1)).repartition(3)
+    monkeypatch.setattr(X, "MOST_GRAMS", 10)
+    model = X.fit(spark.createDataFrame([(t,) for t in texts], "text string"))
+    assert model.tables and not model.p
+    out = X.score(docs, model)
+    assert out.columns == ["id", "text", "d", "perplexity"]
+    got = sorted((r.id, r.perplexity) for r in out.collect())
+    assert [i for i, _ in got] == list(range(len(scored))) and [p for _, p in got[-2:]] == [None, None]
+    want = [10 ** (-s / (len(t) + 1)) for s, t in zip(brute(texts, scored[:-2]), scored[:-2], strict=True)]
+    assert np.allclose([p for _, p in got[:-2]], want, rtol=1e-4)
