@@ -58,3 +58,21 @@ def test_summary_finds_topics_once(spark, monkeypatch):
     TF.t31(spark, SMALL)
     for df in seen[0]:
         assert "MapInArrow" not in df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_passes_leave_no_shuffle_files(spark, bow):
+    """A table for each task and pass lay on disk until the driver collected garbage: 0.7 GB on 0.10 GB of texts."""
+    import time
+    from tallyloom.operators import variational as U
+
+    def lying():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+
+    before, conf = lying(), spark.conf.get(U.RELEASE)
+    L.fit_lda(bow[1], "id", 3, passes=10)
+    until = time.time() + 20
+    while len({x.split("_")[1] for x in lying() - before}) > 3 and time.time() < until:
+        time.sleep(0.2)
+    assert len({x.split("_")[1] for x in lying() - before}) <= 3
+    assert spark.conf.get(U.RELEASE) == conf
